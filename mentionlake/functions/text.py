@@ -12,6 +12,11 @@ WS_CHARS = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 WS = f"[{WS_CHARS}]"
+WS_LIST = (
+    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Dash-like characters an ASCII hyphen in an alias may stand for.
 DASH = r"[-\x{2010}\x{2011}\x{2012}\x{2013}\x{2014}\x{2212}]"
@@ -25,7 +30,7 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 def strip(c: Column) -> Column:
     """Drop whitespace of any kind from both ends (``trim`` only knows spaces)."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(WS_LIST))
 
 
 def present(c: Column) -> Column:
@@ -41,8 +46,8 @@ def sentence_array(text: Column) -> Column:
     """Sentences in order. A break is whitespace after ``.``, ``!`` or ``?``; line
     breaks inside a sentence become spaces, so a heading without a full stop stays
     with the sentence that follows it."""
-    pieces = F.split(text, f"(?<=[.!?]){WS}+")
-    return F.transform(pieces, lambda s: strip(F.translate(s, "\n", " ")))
+    flat = F.replace(strip(text), F.lit("\n"), F.lit(" "))
+    return F.split(flat, f"(?<=[.!?]){WS}+")
 
 
 def letter_runs(c: Column) -> Column:

@@ -43,3 +43,10 @@ def broadcast_if_small(
     """Hint a broadcast only after the size was checked; beyond it the join shuffles
     and adaptive execution splits skewed partitions."""
     return F.broadcast(df) if measure(df, max_rows, max_bytes).fits else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input with fewer partitions than cores; a large input has
+    more and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
