@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mentionlake.functions.text import DASH, FOLDS_TO_ASCII, WS_CHARS, ascii_lower, letter_runs
+from mentionlake.operators.anchors import anchor_join
 from mentionlake.operators.dictionary import ANYWHERE, GRAM, GRAM_LENGTH, alias_patterns
 from mentionlake.operators.sentences import split_sentences
-from mentionlake.operators.sizing import measure
+from mentionlake.operators.sizing import MAX_ROWS, measure
 
 VOLUME_THRESHOLD = 30
 FEW_GRAMS = 32
@@ -80,34 +81,20 @@ def match_aliases(
     aliases: DataFrame,
     boundary: str = "lookaround",
     key: str = "doc_id",
-    max_rows: int = 1_000_000,
-    salts: int = 32,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Every (sentence, alias) pair where the alias occurs, once.
 
     Sentences are exploded to distinct tokens and joined to aliases on an anchor token;
     the regex runs on the pairs that share one. A dictionary within ``max_rows`` is
-    broadcast, so sentences are not shuffled. A larger one is shuffled on the anchor:
-    only sentence keys travel, common anchors are salted, and the sentences are joined
-    back on their own key for the regex.
+    broadcast, so sentences are not shuffled; see :func:`anchor_join` for larger ones.
     """
     patterns = alias_patterns(aliases, boundary)
     size = measure(patterns.select("alias", "resource_name", "core", "literal", "anchors"), max_rows)
     tokens = _sentence_tokens(_special_anchors(patterns))
     by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("anchors", "norm")
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
-    if size.fits:
-        pairs = rows.select("*", F.explode(tokens).alias("anchor")).join(F.broadcast(by_anchor), "anchor")
-    else:
-        salt = F.pmod(F.xxhash64(key, "sent_no"), F.lit(salts))
-        exploded = rows.select(key, "sent_no", F.explode(tokens).alias("anchor")).withColumn(
-            "salt", salt
-        )
-        spread = by_anchor.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>"))
-        )
-        pairs = exploded.join(spread, ["anchor", "salt"]).drop("salt")
-        pairs = pairs.join(rows, [key, "sent_no"])
+    pairs = anchor_join(rows, [key, "sent_no"], tokens, by_anchor, size.fits)
     found = pairs.where(_hits(boundary))
     # An alias with several anchors may meet one sentence more than once; the grouping
     # below also gathers a sentence's mentions into one row before the shuffle.
