@@ -90,7 +90,8 @@ def assign_shards(ids: DataFrame, shards: int = 128) -> DataFrame:
 
 def cluster_by_shard(ids: DataFrame, shards: int = 128) -> DataFrame:
     """Rows of a shard next to each other, for writing or shard-wise lookups."""
-    return assign_shards(ids, shards).repartition("shard").sortWithinPartitions("shard", "pmcid")
+    rows = assign_shards(ids, shards).repartitionByRange("shard", "pmcid")
+    return rows.sortWithinPartitions("shard", "pmcid")
 
 
 def assign_chunks(ids: DataFrame, chunks: int) -> DataFrame:

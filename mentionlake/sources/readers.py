@@ -12,7 +12,7 @@ LABELLED_SCHEMA = (
     "pmcid string, paragraph_text string"
 )
 SUMMARY_SCHEMA = "doc_id string, resource_name string, alias string, match_count bigint, mean_confidence double"
-DEFINITION_SCHEMA = "names array<string>, topics array<string>, is_gcbr int, ambiguous int"
+DEFINITION_SCHEMA = "names array<string>, topics array<string>, ambiguous int"
 CORE_SCHEMA = "short_name string, common_name string, full_name string"
 VERSION_SCHEMA = "name string, date string, user string"
 ARTICLE_END = "</article>"
@@ -29,9 +29,9 @@ def read_resource_table(spark: SparkSession, path: str | None = None, jdbc: dict
 
 
 def parse_dictionary(documents: DataFrame, value: str = "value") -> DataFrame:
-    """JSON objects of id to names, as rows of ``resource_id, names``."""
+    """JSON objects of id to names, as rows of ``resource_pos, resource_id, names``."""
     parsed = F.from_json(value, "map<string,array<string>>")
-    return documents.select(F.explode(parsed).alias("resource_id", "names"))
+    return documents.select(F.posexplode(parsed).alias("resource_pos", "resource_id", "names"))
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
