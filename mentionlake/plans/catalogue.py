@@ -12,7 +12,7 @@ from mentionlake.operators import articles, blocks, detect, dictionary, rollup,
 from mentionlake.operators.sentences import split_rows, split_sentences
 from mentionlake.plans import inputs
 from mentionlake.session import run_folder
-from mentionlake.sources import readers
+from mentionlake.sources import readers, writers
 from mentionlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -438,8 +438,12 @@ def fact_mentions(spark, sf):
     scored = inputs.scored(spark, sf).withColumn("pmcid", id_functions.full_id(F.col("doc_id")))
     summary = rollup.summarise(scored, ["pmcid", "resource_id", "resource_name", "alias"])
     facts = rollup.mention_facts(summary, _gate(spark, sf)[0], VERSION)
-    stored = facts.where(F.col("resource_id") <= 4)
-    return stored.unionByName(rollup.new_facts(facts, stored).select(*stored.columns))
+    out = run_folder(spark, "facts")
+    facts.write.parquet(f"{out}/staged")
+    facts = spark.read.parquet(f"{out}/staged")
+    writers.append_facts(facts.where(F.col("resource_id") <= 4), f"{out}/rows")
+    writers.append_facts(facts, f"{out}/rows")
+    return spark.read.parquet(f"{out}/rows").select(*facts.columns)
 
 
 # --- training data ---
@@ -505,8 +509,14 @@ def label_order(spark, sf):
 
 
 def _stream(spark, sf, name):
+    """The table as a stream of files: a folder of part files, or the one file."""
     path = f"{sf}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    stored = spark.read.parquet(path)
+    first = stored.select("_metadata.file_name").first()
+    reader = spark.readStream.schema(stored.schema)
+    if first and first[0] == f"{name}.parquet":
+        return reader.option("pathGlobFilter", first[0]).parquet(sf)
+    return reader.parquet(path)
 
 
 @query

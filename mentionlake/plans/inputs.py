@@ -46,6 +46,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a local relation, known to the planner without a job."""
+
+    def sql(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, list):
+            return f"array({', '.join(map(sql, v))})"
+        return "'" + v.replace("'", "\\'") + "'" if isinstance(v, str) else str(v)
+
+    names = ", ".join(f.split()[0] for f in schema.split(", "))
+    casts = ", ".join(f"CAST({f.split()[0]} AS {f.split()[1]})" for f in schema.split(", "))
+    values = ", ".join(f"({', '.join(map(sql, r))})" for r in rows)
+    aliased = ", ".join(
+        f"{c} AS {n}" for c, n in zip(casts.split(", "), names.split(", "))
+    )
+    return spark.sql(f"SELECT {aliased} FROM VALUES {values} AS t({names})")
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
@@ -55,7 +74,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DICTIONARY, "resource_id int, names array<string>")
+    return literal_rows(spark, DICTIONARY, "resource_id int, names array<string>")
 
 
 def aliases(spark: SparkSession) -> DataFrame:
@@ -78,7 +97,7 @@ def resource_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extra_aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXTRA_ALIASES, "short_name string, aliases array<string>")
+    return literal_rows(spark, EXTRA_ALIASES, "short_name string, aliases array<string>")
 
 
 def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,8 +145,8 @@ def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def definitions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        DEFINITIONS, "names array<string>, topics array<string>, ambiguous int"
+    return literal_rows(
+        spark, DEFINITIONS, "names array<string>, topics array<string>, ambiguous int"
     )
 
 

@@ -5,6 +5,8 @@ The SQL is brute force where the jobs are not: every sentence meets every alias.
 
 from __future__ import annotations
 
+import re
+
 from mentionlake.functions.text import DASH, WS, WS_LIST
 from mentionlake.operators.blocks import PAGE_ARTICLE, PAGE_BLOCK, PAGE_ITEM, PAGE_ITEM_END, PAGE_NOISE, PAGE_TAG
 from mentionlake.plans import catalogue, inputs
@@ -94,21 +96,42 @@ sent AS (
     FROM (SELECT doc_id, {parts('text')} AS p FROM documents))
   WHERE sentence <> '')"""
 
-_rows = ", ".join(
-    f"({i}, {q(names[0])}, {q(a)}, {str(names[0] in inputs.CASE_SENSITIVE).lower()})"
-    for i, names in inputs.DICTIONARY
-    for a in names
-)
-PATTERNS = f"""
-dict(resource_id, resource_name, alias, cs) AS (VALUES {_rows}),
-normed AS (SELECT *, CASE WHEN cs THEN alias ELSE lower(alias) END AS norm FROM dict),
-pat AS (SELECT *, {core('norm')} AS core, {escape('norm')} AS strict, {escape('alias')} AS literal FROM normed)"""
+_aliases = [(i, names[0], a, names[0] in inputs.CASE_SENSITIVE) for i, names in inputs.DICTIONARY for a in names]
+
+
+def flexible(alias: str) -> str:
+    """One pattern as text, so that the other engine compiles it once."""
+    swap = {"-": DASH, " ": WS + "+", ".": "\\.?"}
+    return "".join(swap.get(c, re.escape(c)) for c in alias)
+
+
+def search(body: str, boundary: str) -> str:
+    if boundary == "consuming":
+        return q(f"[^A-Za-z]{body}[^A-Za-z]")
+    return q(f"(^|[^A-Za-z]){body}([^A-Za-z]|$)")
 
-RAW = f"""{SENT}, {PATTERNS},
-raw AS (
-  SELECT * FROM sent, pat
-  WHERE regexp_matches(CASE WHEN cs THEN sentence ELSE lower(sentence) END,
-    '(^|[^A-Za-z])' || core || '([^A-Za-z]|$)'))"""
+
+def raw(source: str, boundary: str = "edge") -> str:
+    """Every sentence against every alias."""
+    found = []
+    for i, name, alias, cs in _aliases:
+        norm = alias if cs else alias.lower()
+        body = re.escape(norm) if boundary == "consuming" else flexible(norm)
+        subject = "sentence" if cs and boundary == "edge" else "lower(sentence)"
+        found.append(
+            f"SELECT doc_id, sent_no, sentence, {i} AS resource_id, {q(name)} AS resource_name, "
+            f"{q(alias)} AS alias FROM {source} WHERE regexp_matches({subject}, {search(body, boundary)})"
+        )
+    return "raw AS MATERIALIZED (" + "\n  UNION ALL ".join(found) + ")"
+
+
+def strict(boundary: str = "edge") -> str:
+    cases = {a: search(re.escape(a), boundary) for _, _, a, _ in _aliases}
+    whens = " ".join(f"WHEN {q(a)} THEN regexp_matches(sentence, {p})" for a, p in cases.items())
+    return f"CASE alias {whens} END"
+
+
+RAW = f"{SENT}, {raw('sent')}"
 
 KEPT = """
 kept AS (
@@ -120,11 +143,10 @@ _listed = str_list(inputs.CASE_SENSITIVE)
 CHECKED = f"""{RAW}, {KEPT},
 counted AS (SELECT *, count(*) OVER (PARTITION BY doc_id, alias) AS alias_hits FROM kept),
 checked AS (
-  SELECT * FROM counted WHERE alias_hits <= 30 OR list_contains({_listed}, alias)
-    OR regexp_matches(sentence, '(^|[^A-Za-z])' || literal || '([^A-Za-z]|$)'))"""
+  SELECT * FROM counted WHERE alias_hits <= 30 OR list_contains({_listed}, alias) OR {strict()})"""
 
 DEDUP = f"""{CHECKED},
-mentions AS (
+mentions AS MATERIALIZED (
   SELECT doc_id, min(sent_no) AS sent_no, sentence, min(resource_id) AS resource_id,
     resource_name, alias
   FROM checked WHERE sentence <> '' GROUP BY doc_id, sentence, alias, resource_name)"""
@@ -158,7 +180,7 @@ pair_words AS (
 logits AS (
   SELECT {keep}, sum(weight_micro) AS logit FROM pair_words JOIN weights USING (feature) GROUP BY {keep}),
 probs AS (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-logit / 1000000.0::DOUBLE)) AS p1 FROM logits),
-scored AS (
+scored AS MATERIALIZED (
   SELECT {keep}, CAST(p1 > 0.5 AS INT) AS prediction,
     round(CASE WHEN p1 > 0.5 THEN p1 ELSE 1 - p1 END, 6) AS confidence FROM probs)"""
 
@@ -227,13 +249,20 @@ _marked = (
     "chr(1) || '\\1' || chr(2), 'g')"
 )
 
-_defs = ", ".join(
-    f"({q(names[0])}, {q(a)}, {str_list([t.lower() for t in topics])})"
+_eligible = [
+    (names[0], a, [t.lower() for t in topics])
     for names, topics, mark in inputs.DEFINITIONS
     if topics and (1 if mark is None else mark) != 0
     for a in names
-)
+]
+_defs = ", ".join(f"({q(n)}, {q(a)}, {str_list(t)})" for n, a, t in _eligible)
 _edge = "[^\\p{L}\\p{N}_]"
+_topic_case = " ".join(
+    f"WHEN {q(n)} THEN regexp_matches(lower(sentence), "
+    + q(f"(^|{_edge})(" + "|".join(map(re.escape, t)) + f")e?s?({_edge}|$)")
+    + ")"
+    for n, t in {n: t for n, _, t in _eligible}.items()
+)
 LABELLED = f"""
 defs(resource_name, alias, topics) AS (VALUES {_defs}),
 bodies AS (SELECT doc_id, text, {phrase('text')} AS body FROM documents WHERE coalesce(n_chars, 0) > 0),
@@ -243,8 +272,7 @@ wanted AS (
   FROM bodies, defs WHERE contains(body, {phrase('alias')})), {SENT},
 labelled AS (
   SELECT resource_name, alias, article_topic_match, doc_id, sent_no AS block_no, sentence,
-    CAST(len(list_filter(topics, lambda t: regexp_matches(lower(sentence),
-      '(^|{_edge})' || {escape('t')} || 'e?s?({_edge}|$)'))) > 0 AS INT) AS label
+    CAST(CASE resource_name {_topic_case} END AS INT) AS label
   FROM wanted JOIN sent USING (doc_id) WHERE contains(lower(sentence), lower(alias)))"""
 
 
@@ -431,20 +459,18 @@ oracle(
 oracle("mentions_ci_cs", "SELECT doc_id, sent_no, resource_id, resource_name, alias FROM raw", RAW)
 oracle(
     "mentions_consuming",
-    """SELECT doc_id, min(sent_no) AS sent_no, resource_name, alias FROM (
+    f"""SELECT doc_id, min(sent_no) AS sent_no, resource_name, alias FROM (
       SELECT *, count(*) OVER (PARTITION BY doc_id, alias) AS hits FROM kept)
-    WHERE hits <= 30 OR regexp_matches(sentence, '[^A-Za-z]' || literal || '[^A-Za-z]')
+    WHERE hits <= 30 OR {strict('consuming')}
     GROUP BY doc_id, sentence, resource_name, alias""",
     SENT,
-    PATTERNS,
     f"""searched AS (
       SELECT 'D' || doc_id AS doc_id, sent_no, sentence FROM sent
       UNION ALL SELECT * FROM (
         SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INT) AS sent_no, {trim('unnest(p)')} AS sentence
         FROM (SELECT 'C' || conv_id || '-' || turn AS doc_id, string_split(text, chr(10)) AS p
           FROM conversations WHERE role = 'system')) WHERE sentence <> '')""",
-    """raw AS (SELECT * FROM searched, pat
-      WHERE regexp_matches(lower(sentence), '[^A-Za-z]' || strict || '[^A-Za-z]'))""",
+    raw("searched", "consuming"),
     KEPT,
 )
 oracle("substring_suppression", "SELECT doc_id, sent_no, resource_name, alias FROM kept", RAW, KEPT)
