@@ -60,6 +60,7 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), "[^a-z]+"), lambda w: w != "")
 
 
-def phrase_tokens(c: Column) -> Column:
-    """Lower-cased tokens of letters and digits in any script, in order."""
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def phrase_text(c: Column) -> Column:
+    """Lower-cased runs of letters and digits in any script, one space around each."""
+    spaced = F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")
+    return F.concat(F.lit(" "), F.trim(spaced), F.lit(" "))

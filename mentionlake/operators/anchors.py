@@ -23,12 +23,16 @@ def anchor_join(
     Small pattern tables are broadcast, and rows stay where they are. Otherwise only
     row keys are shuffled on the token, salted so that a token found everywhere is
     spread over ``salts`` tasks, and the surviving pairs fetch their row by key.
+
+    Here and elsewhere computed arrays are exploded in the outer form: the plain form
+    lets the optimizer add a test for empty arrays, below the explode, that computes the
+    array again. The join drops the null row of an empty one.
     """
     if small:
-        exploded = rows.select("*", F.explode(tokens).alias("anchor"))
+        exploded = rows.select("*", F.explode_outer(tokens).alias("anchor"))
         return exploded.join(F.broadcast(patterns), "anchor")
     salt = F.pmod(F.xxhash64(*keys), F.lit(salts))
-    exploded = rows.select(*keys, F.explode(tokens).alias("anchor")).withColumn("salt", salt)
+    exploded = rows.select(*keys, F.explode_outer(tokens).alias("anchor")).withColumn("salt", salt)
     every = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
     spread = patterns.withColumn("salt", F.explode(every))
     pairs = exploded.join(spread, ["anchor", "salt"]).drop("salt")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionlake.functions.ids import BUNDLE_NAME, CHUNK_NAME, id_number, md5_shard, shard_file
-from mentionlake.functions.text import phrase_tokens
+from mentionlake.functions.text import phrase_text
 from mentionlake.operators.anchors import anchor_join
 from mentionlake.operators.ranking import first_per_key, global_rank, top_n_per_key
 from mentionlake.operators.sizing import MAX_ROWS, broadcast_if_small, measure
@@ -38,23 +38,15 @@ def phrase_hits(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS)
         aliases.select("resource_id", "alias")
         .where(F.col("alias") != "")
         .distinct()
-        .withColumn("words", phrase_tokens(F.col("alias")))
-        .where(F.size("words") > 0)
+        .withColumn("phrase", phrase_text(F.col("alias")))
+        .where(F.trim("phrase") != "")
     )
-    by_length = F.transform("words", lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
-    phrases = phrases.select(
-        "resource_id",
-        "alias",
-        F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("phrase"),
-        F.array_max(by_length)["w"].alias("anchor"),
-    )
-    rows = texts.where("has_full_text").select(
-        "doc_id", phrase_tokens(F.col("text")).alias("words")
-    ).select(
-        "doc_id",
-        F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("body"),
-        F.array_distinct("words").alias("words"),
+    by_length = F.transform(
+        F.split("phrase", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))
     )
+    phrases = phrases.withColumn("anchor", F.array_max(by_length)["w"])
+    rows = texts.where("has_full_text").select("doc_id", phrase_text(F.col("text")).alias("body"))
+    rows = rows.withColumn("words", F.array_distinct(F.split("body", " ")))
     small = measure(phrases, max_rows).fits
     pairs = anchor_join(rows, ["doc_id"], F.col("words"), phrases, small)
     found = pairs.where(F.contains("body", "phrase"))

@@ -149,7 +149,7 @@ def training_blocks(raw: DataFrame) -> DataFrame:
     pieces = F.when(F.col("kind") == "paragraph", sentence_array(F.col("text"))).otherwise(
         F.array("text")
     )
-    return rows.select("doc_id", "block_no", F.posexplode(pieces).alias("part_no", "text"))
+    return rows.select("doc_id", "block_no", F.posexplode_outer(pieces).alias("part_no", "text"))
 
 
 # --- HTML pages: built-in expressions only ---
@@ -180,7 +180,7 @@ def page_blocks(pages: DataFrame, glue: str = "") -> DataFrame:
     """``page_id, block_no, kind, text``: heading and paragraphs of each page's article."""
     body = F.regexp_extract(F.regexp_replace("html", PAGE_NOISE, ""), PAGE_ARTICLE, 1)
     marked = F.regexp_replace(body, PAGE_BLOCK, "\u0001$1\u0002")
-    cut = pages.select("page_id", F.posexplode(F.split(marked, "\u0001")).alias("block_no", "piece"))
+    cut = pages.select("page_id", F.posexplode_outer(F.split(marked, "\u0001")).alias("block_no", "piece"))
     tag = F.split_part("piece", F.lit("\u0002"), F.lit(1))
     text = _visible(F.split_part("piece", F.lit("\u0002"), F.lit(2)), glue)
     rows = cut.where("block_no > 0").select("page_id", "block_no", tag.alias("tag"), text.alias("t"))
@@ -196,7 +196,7 @@ def page_blocks(pages: DataFrame, glue: str = "") -> DataFrame:
 def page_list_items(pages: DataFrame, glue: str = "") -> DataFrame:
     """``page_id, item_no, text``: each list item once, as ``- item.``"""
     body = F.regexp_replace("html", PAGE_NOISE, "")
-    cut = pages.select("page_id", F.posexplode(F.split(body, PAGE_ITEM)).alias("item_no", "piece"))
+    cut = pages.select("page_id", F.posexplode_outer(F.split(body, PAGE_ITEM)).alias("item_no", "piece"))
     text = _visible(F.regexp_replace("piece", PAGE_ITEM_END, ""), glue)
     return cut.where("item_no > 0").select("page_id", "item_no", text.alias("t")).where(
         F.col("t") != ""

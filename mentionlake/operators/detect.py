@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,13 +10,20 @@ from pyspark.sql.window import Window
 
 from mentionlake.functions.text import DASH, FOLDS_TO_ASCII, WS_CHARS, ascii_lower, letter_runs
 from mentionlake.operators.anchors import anchor_join
-from mentionlake.operators.dictionary import ANYWHERE, GRAM, GRAM_LENGTH, alias_patterns
+from mentionlake.operators.dictionary import (
+    ANYWHERE,
+    GRAM,
+    GRAM_LENGTH,
+    alias_patterns,
+    with_containing,
+)
 from mentionlake.operators.sentences import split_sentences
 from mentionlake.operators.sizing import MAX_ROWS, measure
 
 VOLUME_THRESHOLD = 30
 FEW_GRAMS = 32
-ALIAS_FIELDS = ["resource_id", "resource_name", "alias", "case_sensitive", "core", "literal"]
+MAX_CONTAINING = 64
+ALIAS_FIELDS = ["resource_id", "resource_name", "alias", "literal"]
 
 
 def _boundaries(body: Column, boundary: str) -> Column:
@@ -67,13 +74,15 @@ def _sentence_tokens(special: list[str]) -> Column:
     return F.concat(tokens, F.array_compact(F.array(*seen)))
 
 
-def _hits(boundary: str) -> Column:
+def _hits(m: Callable[[str], Column], boundary: str) -> Column:
+    """Does an alias, given by a getter of its fields, match this sentence?"""
     if boundary == "lookaround":
-        subject = F.when(F.col("case_sensitive"), F.col("sentence")).otherwise(F.col("lowered"))
+        subject = F.when(m("case_sensitive"), F.col("sentence")).otherwise(F.col("lowered"))
     else:
         # The older matcher looks at the lowered sentence in both modes.
         subject = F.col("lowered")
-    return F.col("plain") | F.rlike(subject, _boundaries(F.col("core"), boundary))
+    regex = F.rlike(subject, _boundaries(m("core"), boundary))
+    return F.when(m("plain"), F.array_contains("tokens", m("norm"))).otherwise(regex)
 
 
 def match_aliases(
@@ -81,46 +90,55 @@ def match_aliases(
     aliases: DataFrame,
     boundary: str = "lookaround",
     key: str = "doc_id",
+    suppress: bool = False,
     max_rows: int = MAX_ROWS,
+    max_containing: int = MAX_CONTAINING,
 ) -> DataFrame:
     """Every (sentence, alias) pair where the alias occurs, once.
 
     Sentences are exploded to distinct tokens and joined to aliases on an anchor token;
     the regex runs on the pairs that share one. A dictionary within ``max_rows`` is
     broadcast, so sentences are not shuffled; see :func:`anchor_join` for larger ones.
+
+    ``suppress`` drops a mention whose lowered alias is a proper part of another matched
+    one (equal lowered aliases keep each other). Which aliases of the dictionary contain
+    which is known beforehand, so each pair just tests those against its own sentence.
+    Where an alias sits inside more than ``max_containing`` others the sentences are
+    grouped instead.
     """
     patterns = alias_patterns(aliases, boundary)
-    size = measure(patterns.select("alias", "resource_name", "core", "literal", "anchors"), max_rows)
-    tokens = _sentence_tokens(_special_anchors(patterns))
-    by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("anchors", "norm")
+    if suppress:
+        patterns = with_containing(patterns)
+    size = measure(patterns, max_rows)
+    grouped = suppress and not patterns.where(F.size("containing") > max_containing).isEmpty()
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
-    pairs = anchor_join(rows, [key, "sent_no"], tokens, by_anchor, size.fits)
-    found = pairs.where(_hits(boundary))
-    # An alias with several anchors may meet one sentence more than once; the grouping
-    # below also gathers a sentence's mentions into one row before the shuffle.
-    return found.select(key, "sent_no", "sentence", *ALIAS_FIELDS)
-
-
-def _per_sentence(pairs: DataFrame, key: str) -> DataFrame:
-    return pairs.groupBy(key, "sent_no", "sentence").agg(
-        F.collect_set(F.struct(*ALIAS_FIELDS)).alias("found")
+    rows = rows.withColumn("tokens", _sentence_tokens(_special_anchors(patterns)))
+    by_anchor = patterns.withColumn("anchor", F.explode("anchors"))
+    pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
+    # Several anchors of one alias may be in a sentence; the first of them counts.
+    once = (F.size("anchors") == 1) | (
+        F.col("anchor") == F.array_intersect("anchors", "tokens")[0]
     )
-
-
-def distinct_pairs(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
-    return _per_sentence(pairs, key).select(key, "sent_no", "sentence", F.inline("found"))
+    found = pairs.where(once & (F.col("plain") | _hits(F.col, boundary)))
+    if suppress and not grouped:
+        inside = F.exists("containing", lambda m: _hits(lambda f: m[f], boundary))
+        found = found.where(~inside)
+    found = found.select(key, "sent_no", "sentence", *ALIAS_FIELDS)
+    return suppress_substrings(found, key) if grouped else found
 
 
 def suppress_substrings(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Inside one sentence drop each mention whose lowered alias is a proper part of
-    another matched lowered alias; equal lowered aliases keep each other."""
-    rows = _per_sentence(pairs, key).withColumn(
-        "lowered", F.transform("found", lambda m: F.lower(m["alias"]))
+    """The same suppression for mentions found elsewhere: a sentence's mentions are
+    gathered into one row, before the shuffle already, and filtered there."""
+    rows = pairs.groupBy(key, "sent_no").agg(
+        F.any_value("sentence").alias("sentence"),
+        F.collect_set(F.struct(*ALIAS_FIELDS)).alias("found"),
     )
+    rows = rows.withColumn("all_lowered", F.transform("found", lambda m: F.lower(m["alias"])))
     kept = F.filter(
         "found",
         lambda m: ~F.exists(
-            "lowered",
+            "all_lowered",
             lambda other: (other != F.lower(m["alias"])) & F.contains(other, F.lower(m["alias"])),
         ),
     )
@@ -164,10 +182,9 @@ def find_mentions(
     boundary: str = "lookaround",
     key: str = "doc_id",
 ) -> DataFrame:
-    """Match, suppress, re-check and dedupe. Sentences are shuffled only where they hold
-    a mention: once per sentence, once per (article, alias)."""
-    pairs = match_aliases(sentences, aliases, boundary, key)
-    kept = suppress_substrings(pairs, key)
+    """Match, suppress, re-check and dedupe. Only mentions are shuffled, once, by article
+    and alias."""
+    kept = match_aliases(sentences, aliases, boundary, key, suppress=True)
     return dedupe_mentions(recheck_volume(kept, case_sensitive, threshold, boundary, key), key)
 
 

@@ -153,6 +153,37 @@ def _anchors(folded: Column, dots_optional: bool) -> Column:
     )
 
 
+def with_containing(patterns: DataFrame) -> DataFrame:
+    """Adds ``containing``: what is needed to match the aliases of the dictionary whose
+    lowered text properly contains this one. They share its first characters, which
+    turns the search into an equality join."""
+    matcher = F.struct("norm", "core", "plain", "case_sensitive").alias("matcher")
+    low = F.lower("alias").alias("low")
+    starts = F.sequence(F.lit(1), F.length("low"))
+    grams = F.flatten(
+        F.transform(
+            starts,
+            lambda i: F.array(
+                *[F.col("low").substr(i, F.lit(n)) for n in range(1, GRAM_LENGTH + 1)]
+            ),
+        )
+    )
+    outer = patterns.where(F.length("alias") > 0).select(matcher, low).distinct()
+    outer = outer.select("matcher", F.col("low").alias("outer"), F.explode(F.array_distinct(grams)).alias("gram"))
+    inner = patterns.select(low).distinct().select("low", F.substring("low", 1, GRAM_LENGTH).alias("gram"))
+    pairs = inner.join(outer, "gram").where(
+        (F.col("outer") != F.col("low")) & F.contains("outer", "low")
+    )
+    found = pairs.groupBy("low").agg(F.collect_set("matcher").alias("containing"))
+    none = F.array().cast("array<struct<norm:string,core:string,plain:boolean,case_sensitive:boolean>>")
+    return (
+        patterns.withColumn("low", low)
+        .join(found, "low", "left")
+        .withColumn("containing", F.coalesce("containing", none))
+        .drop("low")
+    )
+
+
 def name_to_id(dictionary: DataFrame) -> DataFrame:
     """Alias to resource id; of several resources with the alias the last one wins."""
     return dictionary.where(F.col("alias").isNotNull()).groupBy("alias").agg(

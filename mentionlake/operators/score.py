@@ -30,12 +30,15 @@ def model_input(text: Column, alias: Column) -> Column:
     return F.concat(F.trim(flat), F.lit(" [SEP] "), F.coalesce(alias, F.lit("")))
 
 
-def pair_features(text: Column, alias: Column) -> Column:
-    """Feature numbers of a pair, in order, cut to the model's window."""
-    tokens = F.slice(words(model_input(text, alias)), 1, MAX_TOKENS)
-    return F.transform(
-        tokens, lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int")
-    )
+def pair_words(text: Column, alias: Column) -> Column:
+    """Words of a pair in order, cut to the model's window, after one empty word that
+    stands for the pair itself."""
+    return F.concat(F.array(F.lit("")), F.slice(words(model_input(text, alias)), 1, MAX_TOKENS))
+
+
+def feature_of(word: Column) -> Column:
+    number = F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int")
+    return F.when(word == "", F.lit(PRIOR)).otherwise(number)
 
 
 def train_weights(examples: DataFrame, balanced: bool = True) -> DataFrame:
@@ -46,10 +49,9 @@ def train_weights(examples: DataFrame, balanced: bool = True) -> DataFrame:
     ``balanced``. Weights are add-one smoothed log odds in millionths.
     """
     per_word = examples.select(
-        "label",
-        F.explode(F.concat(F.array(F.lit(PRIOR)), pair_features(F.col("text"), F.col("alias")))).alias("feature"),
+        "label", F.explode_outer(pair_words(F.col("text"), F.col("alias"))).alias("word")
     )
-    counts = per_word.groupBy("feature").agg(
+    counts = per_word.groupBy(feature_of(F.col("word")).alias("feature")).agg(
         F.sum(F.lit(1) - F.col("label")).cast("bigint").alias("negatives"),
         F.sum("label").cast("bigint").alias("positives"),
     )
@@ -91,10 +93,11 @@ def score_mentions(mentions: DataFrame, weights: DataFrame) -> DataFrame:
     itself, which detection left partitioned by article and alias, so no further shuffle.
     """
     keys = mentions.columns
-    features = F.concat(F.array(F.lit(PRIOR)), pair_features(F.col("sentence"), F.col("alias")))
+    pieces = F.explode_outer(pair_words(F.col("sentence"), F.col("alias"))).alias("word")
     table = F.broadcast(weights.select("feature", "weight_micro"))
     logit = (
-        mentions.select("*", F.explode(features).alias("feature"))
+        mentions.select("*", pieces)
+        .withColumn("feature", feature_of(F.col("word")))
         .join(table, "feature")
         .groupBy(*keys)
         .agg(F.sum("weight_micro").alias("_logit"))

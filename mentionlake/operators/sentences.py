@@ -11,7 +11,7 @@ from mentionlake.functions.text import sentence_array, strip
 def split_sentences(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key, sent_no, sentence``; numbering counts every piece, empty ones are dropped."""
     return (
-        texts.select(key, F.posexplode(sentence_array(F.col(text))).alias("sent_no", "sentence"))
+        texts.select(key, F.posexplode_outer(sentence_array(F.col(text))).alias("sent_no", "sentence"))
         .where(F.col("sentence") != "")
     )
 
@@ -19,7 +19,7 @@ def split_sentences(texts: DataFrame, text: str = "text", key: str = "doc_id") -
 def split_rows(tables: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """A table block is searched line by line."""
     return (
-        tables.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("sent_no", "sentence"))
+        tables.select(key, F.posexplode_outer(F.split(F.col(text), "\n")).alias("sent_no", "sentence"))
         .withColumn("sentence", strip(F.col("sentence")))
         .where(F.col("sentence") != "")
     )

@@ -114,7 +114,8 @@ def quota_sample(
     articles with that label, can ever be taken: an article yields none of a label only
     after ``per_article`` of the other, which its quota allows a few times. Two ranking
     filters, applied before the shuffle too, cut each alias to a fixed number of rows
-    however common it is; the greedy pass then folds over that short list.
+    however common it is; the greedy pass then folds over that short list. The input is
+    read more than once: pass a stored table.
     """
     alias = ["resource_name", "alias"]
     order = F.md5(F.concat_ws("|", F.lit(seed), "alias", F.col("doc_id").cast("string")))
@@ -216,7 +217,7 @@ def token_windows(
     windows = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.slice("tokens", i * step + 1, length)
     )
-    cut = base.select(*keep, F.posexplode(windows).alias("window_no", "window"))
+    cut = base.select(*keep, F.posexplode_outer(windows).alias("window_no", "window"))
     return cut.withColumn("n_tokens", F.size("window")).withColumn(
         "padding", F.lit(length) - F.col("n_tokens")
     )

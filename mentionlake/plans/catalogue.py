@@ -298,9 +298,7 @@ def assemble_text(spark, sf):
 @query
 def mentions_ci_cs(spark, sf):
     pairs = detect.match_aliases(inputs.sentences(spark, sf), inputs.aliases(spark))
-    return detect.distinct_pairs(pairs).select(
-        "doc_id", "sent_no", "resource_id", "resource_name", "alias"
-    )
+    return pairs.select("doc_id", "sent_no", "resource_id", "resource_name", "alias")
 
 
 @query
@@ -319,8 +317,7 @@ def mentions_consuming(spark, sf):
 
 
 def _suppressed(spark, sf):
-    pairs = detect.match_aliases(inputs.sentences(spark, sf), inputs.aliases(spark))
-    return detect.suppress_substrings(pairs)
+    return detect.match_aliases(inputs.sentences(spark, sf), inputs.aliases(spark), suppress=True)
 
 
 @query
@@ -463,7 +460,9 @@ def article_topic(spark, sf):
 @query
 def quota_sample(spark, sf):
     labelled = training.label_blocks(inputs.articles(spark, sf), inputs.definitions(spark))
-    return training.quota_sample(labelled)
+    staged = f"{run_folder(spark, 'labelled')}/rows"
+    labelled.write.parquet(staged)
+    return training.quota_sample(spark.read.parquet(staged))
 
 
 @query
