@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +15,12 @@ from mentionlake.operators.dictionary import (
     GRAM,
     GRAM_LENGTH,
     alias_patterns,
-    with_containing,
 )
 from mentionlake.operators.sentences import split_sentences
 from mentionlake.operators.sizing import MAX_ROWS, measure
 
 VOLUME_THRESHOLD = 30
 FEW_GRAMS = 32
-MAX_CONTAINING = 64
 ALIAS_FIELDS = ["resource_id", "resource_name", "alias", "literal"]
 
 
@@ -44,13 +42,6 @@ def _grams(c: Column) -> Column:
     return F.flatten(F.transform(solid, pieces))
 
 
-def _special_anchors(patterns: DataFrame) -> list[str]:
-    """Anchors of aliases without letters; at most one more than ``FEW_GRAMS`` is read."""
-    anchor = F.col("anchors")[0]
-    rows = patterns.where(anchor.startswith(GRAM) | (anchor == ANYWHERE)).select(anchor.alias("a"))
-    return [r["a"] for r in rows.distinct().limit(FEW_GRAMS + 1).collect()]
-
-
 def _sentence_tokens(special: list[str]) -> Column:
     sentence, lowered = F.col("sentence"), F.col("lowered")
     tokens = letter_runs(lowered)
@@ -58,7 +49,7 @@ def _sentence_tokens(special: list[str]) -> Column:
     tokens = F.when(
         sentence.rlike(FOLDS_TO_ASCII), F.array_union(tokens, letter_runs(ascii_lower(sentence)))
     ).otherwise(tokens)
-    if len(special) > FEW_GRAMS:
+    if len(special) > FEW_GRAMS:  # the list is cut, so cut all pieces of the sentence
         grams = F.array_union(_grams(lowered), _grams(sentence))
         return F.concat(tokens, grams, F.array(F.lit(ANYWHERE)))
     if not special:
@@ -74,15 +65,13 @@ def _sentence_tokens(special: list[str]) -> Column:
     return F.concat(tokens, F.array_compact(F.array(*seen)))
 
 
-def _hits(m: Callable[[str], Column], boundary: str) -> Column:
-    """Does an alias, given by a getter of its fields, match this sentence?"""
+def _hits(boundary: str) -> Column:
     if boundary == "lookaround":
-        subject = F.when(m("case_sensitive"), F.col("sentence")).otherwise(F.col("lowered"))
+        subject = F.when(F.col("case_sensitive"), F.col("sentence")).otherwise(F.col("lowered"))
     else:
         # The older matcher looks at the lowered sentence in both modes.
         subject = F.col("lowered")
-    regex = F.rlike(subject, _boundaries(m("core"), boundary))
-    return F.when(m("plain"), F.array_contains("tokens", m("norm"))).otherwise(regex)
+    return F.col("plain") | F.rlike(subject, _boundaries(F.col("core"), boundary))
 
 
 def match_aliases(
@@ -90,46 +79,35 @@ def match_aliases(
     aliases: DataFrame,
     boundary: str = "lookaround",
     key: str = "doc_id",
-    suppress: bool = False,
     max_rows: int = MAX_ROWS,
-    max_containing: int = MAX_CONTAINING,
 ) -> DataFrame:
     """Every (sentence, alias) pair where the alias occurs, once.
 
     Sentences are exploded to distinct tokens and joined to aliases on an anchor token;
     the regex runs on the pairs that share one. A dictionary within ``max_rows`` is
     broadcast, so sentences are not shuffled; see :func:`anchor_join` for larger ones.
-
-    ``suppress`` drops a mention whose lowered alias is a proper part of another matched
-    one (equal lowered aliases keep each other). Which aliases of the dictionary contain
-    which is known beforehand, so each pair just tests those against its own sentence.
-    Where an alias sits inside more than ``max_containing`` others the sentences are
-    grouped instead.
     """
     patterns = alias_patterns(aliases, boundary)
-    if suppress:
-        patterns = with_containing(patterns)
-    size = measure(patterns, max_rows)
-    grouped = suppress and not patterns.where(F.size("containing") > max_containing).isEmpty()
+    anchor = F.col("anchors")[0]
+    letterless = F.when(anchor.startswith(GRAM) | (anchor == ANYWHERE), anchor)
+    few = F.slice(F.array_sort(F.collect_set(letterless)), 1, FEW_GRAMS + 1)
+    columns = ["resource_name", "alias", "literal", "core", "anchors"]
+    size = measure(patterns.select(*columns), max_rows, extra=few)
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
-    rows = rows.withColumn("tokens", _sentence_tokens(_special_anchors(patterns)))
-    by_anchor = patterns.withColumn("anchor", F.explode("anchors"))
+    rows = rows.withColumn("tokens", _sentence_tokens(size.extra))
+    by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("norm")
     pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
     # Several anchors of one alias may be in a sentence; the first of them counts.
     once = (F.size("anchors") == 1) | (
         F.col("anchor") == F.array_intersect("anchors", "tokens")[0]
     )
-    found = pairs.where(once & (F.col("plain") | _hits(F.col, boundary)))
-    if suppress and not grouped:
-        inside = F.exists("containing", lambda m: _hits(lambda f: m[f], boundary))
-        found = found.where(~inside)
-    found = found.select(key, "sent_no", "sentence", *ALIAS_FIELDS)
-    return suppress_substrings(found, key) if grouped else found
+    return pairs.where(once & _hits(boundary)).select(key, "sent_no", "sentence", *ALIAS_FIELDS)
 
 
 def suppress_substrings(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The same suppression for mentions found elsewhere: a sentence's mentions are
-    gathered into one row, before the shuffle already, and filtered there."""
+    """Inside one sentence drop each mention whose lowered alias is a proper part of
+    another matched lowered alias; equal lowered aliases keep each other. A sentence's
+    mentions are gathered into one row before the shuffle already."""
     rows = pairs.groupBy(key, "sent_no").agg(
         F.any_value("sentence").alias("sentence"),
         F.collect_set(F.struct(*ALIAS_FIELDS)).alias("found"),
@@ -182,9 +160,9 @@ def find_mentions(
     boundary: str = "lookaround",
     key: str = "doc_id",
 ) -> DataFrame:
-    """Match, suppress, re-check and dedupe. Only mentions are shuffled, once, by article
-    and alias."""
-    kept = match_aliases(sentences, aliases, boundary, key, suppress=True)
+    """Match, suppress, re-check and dedupe. Sentences are shuffled only where they hold
+    a mention: once by sentence, once by article and alias."""
+    kept = suppress_substrings(match_aliases(sentences, aliases, boundary, key), key)
     return dedupe_mentions(recheck_volume(kept, case_sensitive, threshold, boundary, key), key)
 
 

@@ -114,14 +114,11 @@ def alias_patterns(aliases: DataFrame, boundary: str = "lookaround") -> DataFram
     else:
         raise ValueError("boundary must be 'lookaround' or 'consuming'")
     folded = F.when(cs, ascii_lower(F.col("alias"))).otherwise(F.lower("alias"))
-    return (
-        rows.withColumn("core", core)
-        .withColumn("plain", plain)
-        .withColumn("anchors", _anchors(folded, dots_optional=boundary == "lookaround"))
-    )
+    rows = rows.withColumn("core", core).withColumn("plain", plain).withColumn("_folded", folded)
+    return _with_anchors(rows, dots_optional=boundary == "lookaround")
 
 
-def _anchors(folded: Column, dots_optional: bool) -> Column:
+def _with_anchors(rows: DataFrame, dots_optional: bool) -> DataFrame:
     """Letters next to a match are forbidden, so a letter run of the alias is a whole
     letter run of the sentence too, unless a dot beside it is optional: in ``U.S.A``
     the first run seen is ``u``, ``us`` or ``usa``. One stretch of letters and dots
@@ -129,59 +126,22 @@ def _anchors(folded: Column, dots_optional: bool) -> Column:
     runs are the anchors. Aliases without letters are found by a short piece of their
     other characters, and those made of spaces, dashes and dots by every sentence."""
     keep = "a-z." if dots_optional else "a-z"
-    stretches = F.filter(F.split(folded, f"[^{keep}]+"), lambda s: s.rlike("[a-z]"))
-    runs = F.transform(
-        stretches, lambda s: F.filter(F.split(s, r"\.+"), lambda r: r != "")
-    )
-    ranked = F.transform(
-        runs,
-        lambda r, i: F.struct(
-            (F.size(r) > 1).alias("dotted"), (-F.length(r[0])).alias("len"), i.alias("i")
-        ),
-    )
-    best = F.get(runs, F.array_min(ranked)["i"])
-    first_runs = F.transform(
-        F.sequence(F.lit(1), F.size(best)), lambda n: F.array_join(F.slice(best, 1, n), "")
-    )
-    solid = F.filter(F.split(F.col("norm"), f"[{WS_CHARS}.A-Za-z{DASH[1:]}+"), lambda s: s != "")
-    longest = F.array_max(F.transform(solid, lambda s: F.struct(F.length(s), s.alias("s"))))["s"]
-    gram = F.concat(F.lit(GRAM), F.substring(longest, 1, GRAM_LENGTH))
-    return (
-        F.when(F.size(runs) > 0, F.array_distinct(first_runs))
-        .when(F.size(solid) > 0, F.array(gram))
-        .otherwise(F.array(F.lit(ANYWHERE)))
-    )
-
-
-def with_containing(patterns: DataFrame) -> DataFrame:
-    """Adds ``containing``: what is needed to match the aliases of the dictionary whose
-    lowered text properly contains this one. They share its first characters, which
-    turns the search into an equality join."""
-    matcher = F.struct("norm", "core", "plain", "case_sensitive").alias("matcher")
-    low = F.lower("alias").alias("low")
-    starts = F.sequence(F.lit(1), F.length("low"))
-    grams = F.flatten(
-        F.transform(
-            starts,
-            lambda i: F.array(
-                *[F.col("low").substr(i, F.lit(n)) for n in range(1, GRAM_LENGTH + 1)]
-            ),
-        )
-    )
-    outer = patterns.where(F.length("alias") > 0).select(matcher, low).distinct()
-    outer = outer.select("matcher", F.col("low").alias("outer"), F.explode(F.array_distinct(grams)).alias("gram"))
-    inner = patterns.select(low).distinct().select("low", F.substring("low", 1, GRAM_LENGTH).alias("gram"))
-    pairs = inner.join(outer, "gram").where(
-        (F.col("outer") != F.col("low")) & F.contains("outer", "low")
-    )
-    found = pairs.groupBy("low").agg(F.collect_set("matcher").alias("containing"))
-    none = F.array().cast("array<struct<norm:string,core:string,plain:boolean,case_sensitive:boolean>>")
-    return (
-        patterns.withColumn("low", low)
-        .join(found, "low", "left")
-        .withColumn("containing", F.coalesce("containing", none))
-        .drop("low")
-    )
+    steps = {
+        "_runs": f"""transform(filter(split(_folded, r'[^{keep}]+'), s -> s rlike '[a-z]'),
+            s -> filter(split(s, r'[.]+'), r -> r <> ''))""",
+        "_best": """get(_runs, array_min(transform(_runs, (r, i) ->
+            named_struct('dotted', size(r) > 1, 'len', -length(r[0]), 'i', i))).i)""",
+        "_solid": f"filter(split(norm, r'[{WS_CHARS}.A-Za-z{DASH[1:]}+'), s -> s <> '')",
+        "_longest": "array_max(transform(_solid, s -> named_struct('n', length(s), 's', s))).s",
+        "anchors": f"""CASE
+            WHEN size(_runs) > 0 THEN array_distinct(transform(sequence(1, size(_best)),
+                n -> array_join(slice(_best, 1, n), '')))
+            WHEN size(_solid) > 0 THEN array('{GRAM}' || substring(_longest, 1, {GRAM_LENGTH}))
+            ELSE array('{ANYWHERE}') END""",
+    }
+    for name, sql in steps.items():
+        rows = rows.withColumn(name, F.expr(sql))
+    return rows.drop("_folded", "_runs", "_best", "_solid", "_longest")
 
 
 def name_to_id(dictionary: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 1_000_000
@@ -16,25 +17,36 @@ class Size:
     rows: int
     bytes: int
     fits: bool
+    extra: Any
 
 
-def measure(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Size:
-    """Row count and text size of ``df``, looking at no more than ``max_rows + 1`` rows."""
+def measure(
+    df: DataFrame,
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
+    extra: Column | None = None,
+) -> Size:
+    """Row count and text size of ``df``, looking at no more than ``max_rows + 1`` rows;
+    ``extra`` is one more aggregate to bring along."""
     width = F.lit(0).cast("bigint")
     for name, kind in df.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+        elif kind == "array<string>":
+            width = width + F.coalesce(F.octet_length(F.array_join(name, ",")), F.lit(0))
         elif kind.startswith(("array", "map", "struct")):
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
         else:
             width = width + F.lit(16)
+    extra = F.lit(None) if extra is None else extra
     row = (
         df.limit(max_rows + 1)
-        .select(width.alias("w"))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("b"))
+        .withColumn("_w", width)
+        .agg(F.count("*").alias("n"), F.sum("_w").alias("b"), extra.alias("x"))
         .first()
     )
-    return Size(row["n"], row["b"], row["n"] <= max_rows and row["b"] <= max_bytes)
+    size = row["b"] or 0
+    return Size(row["n"], size, row["n"] <= max_rows and size <= max_bytes, row["x"])
 
 
 def broadcast_if_small(
