@@ -23,21 +23,21 @@ METADATA_FIELDS = [
 
 def candidate_articles(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``resource_id, doc_id`` for articles with full text that hold any alias of the
-    resource as a phrase: the same words in a row, case ignored.
-
-    ``texts`` has ``doc_id, text, has_full_text``. A phrase is looked up by its longest
-    word, so only texts with that word are compared.
-    """
+    resource as a phrase: the same words in a row, case ignored."""
     hits = phrase_hits(texts, aliases, max_rows)
     return hits.select("resource_id", "doc_id").distinct()
 
 
 def phrase_hits(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``resource_id, alias, doc_id`` of every phrase found."""
+    """Each article (``doc_id, text, has_full_text``) with each alias it holds as a
+    phrase: ``doc_id, text`` and the columns of ``aliases``, once per alias and resource.
+
+    A phrase is looked up by its longest word, so only texts with that word are
+    compared. With a broadcast alias table texts are neither shuffled nor joined back.
+    """
     phrases = (
-        aliases.select("resource_id", "alias")
-        .where(F.col("alias") != "")
-        .distinct()
+        aliases.where(F.col("alias") != "")
+        .dropDuplicates(["resource_id", "alias"])
         .withColumn("phrase", phrase_text(F.col("alias")))
         .where(F.trim("phrase") != "")
     )
@@ -45,12 +45,13 @@ def phrase_hits(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS)
         F.split("phrase", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))
     )
     phrases = phrases.withColumn("anchor", F.array_max(by_length)["w"])
-    rows = texts.where("has_full_text").select("doc_id", phrase_text(F.col("text")).alias("body"))
+    rows = texts.where("has_full_text").select(
+        "doc_id", "text", phrase_text(F.col("text")).alias("body")
+    )
     rows = rows.withColumn("words", F.array_distinct(F.split("body", " ")))
     small = measure(phrases, max_rows).fits
     pairs = anchor_join(rows, ["doc_id"], F.col("words"), phrases, small)
-    found = pairs.where(F.contains("body", "phrase"))
-    return found.select("resource_id", "alias", "doc_id").distinct()
+    return pairs.where(F.contains("body", "phrase")).select("doc_id", "text", *aliases.columns)
 
 
 def listed_articles(articles: DataFrame, ids: Sequence[str]) -> DataFrame:

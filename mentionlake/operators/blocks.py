@@ -128,16 +128,18 @@ def extract_blocks(raw: DataFrame, glue: str = "", mode: str = "reading") -> Dat
     """
     walk = {"reading": _reading_blocks, "training": _training_blocks}[mode]
 
+    names = ["doc_id", "block_no", "kind", "depth", "text"]
+
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = []
             for doc_id, xml in zip(frame["doc_id"], frame["xml"]):
                 try:
                     found = walk(ET.fromstring(xml), glue)
-                    out += [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(found)]
+                    out = [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(found)]
                 except ET.ParseError as error:
-                    out.append((doc_id, 0, "unparsed", 0, str(error)))
-            yield pd.DataFrame(out, columns=["doc_id", "block_no", "kind", "depth", "text"])
+                    out = [(doc_id, 0, "unparsed", 0, str(error))]
+                if out:
+                    yield pd.DataFrame(out, columns=names)
 
     rows = raw.select(F.col("doc_id").cast("string").alias("doc_id"), "xml")
     return rows.where(F.col("xml").isNotNull()).mapInPandas(blocks, BLOCK_SCHEMA)

@@ -89,12 +89,15 @@ def match_aliases(
     """
     patterns = alias_patterns(aliases, boundary)
     anchor = F.col("anchors")[0]
-    letterless = F.when(anchor.startswith(GRAM) | (anchor == ANYWHERE), anchor)
-    few = F.slice(F.array_sort(F.collect_set(letterless)), 1, FEW_GRAMS + 1)
+    letterless = anchor.startswith(GRAM) | (anchor == ANYWHERE)
     columns = ["resource_name", "alias", "literal", "core", "anchors"]
-    size = measure(patterns.select(*columns), max_rows, extra=few)
+    size = measure(patterns.select(*columns), max_rows, mark=letterless)
+    special = []
+    if size.marked:
+        found = patterns.where(letterless).select(anchor.alias("a")).distinct()
+        special = [r["a"] for r in found.limit(FEW_GRAMS + 1).collect()]
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
-    rows = rows.withColumn("tokens", _sentence_tokens(size.extra))
+    rows = rows.withColumn("tokens", _sentence_tokens(special))
     by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("norm")
     pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
     # Several anchors of one alias may be in a sentence; the first of them counts.

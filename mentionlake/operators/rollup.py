@@ -28,7 +28,9 @@ def summarise(
 ) -> DataFrame:
     """Confident positive mentions per ``keys``: how many, and their mean confidence.
     Rows with a null key are dropped. ``sentences`` adds the distinct sentences, sorted
-    and joined; ask for it only at grains that include the article."""
+    and joined, at grains that include the article."""
+    if sentences and not {"doc_id", "pmcid"} & set(keys):
+        raise ValueError("sentences can only be joined per article")
     rows = scored.where(confident(min_confidence)).dropna(subset=list(keys))
     aggs = [F.count("*").alias("match_count"), _mean_confidence().alias("mean_confidence")]
     if sentences:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +16,16 @@ class Size:
     rows: int
     bytes: int
     fits: bool
-    extra: Any
+    marked: int
 
 
 def measure(
     df: DataFrame,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
-    extra: Column | None = None,
+    mark: Column | None = None,
 ) -> Size:
-    """Row count and text size of ``df``, looking at no more than ``max_rows + 1`` rows;
-    ``extra`` is one more aggregate to bring along."""
+    """Row count and text size of ``df``, and how many rows meet ``mark``."""
     width = F.lit(0).cast("bigint")
     for name, kind in df.dtypes:
         if kind == "string":
@@ -38,15 +36,13 @@ def measure(
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
         else:
             width = width + F.lit(16)
-    extra = F.lit(None) if extra is None else extra
-    row = (
-        df.limit(max_rows + 1)
-        .withColumn("_w", width)
-        .agg(F.count("*").alias("n"), F.sum("_w").alias("b"), extra.alias("x"))
-        .first()
-    )
-    size = row["b"] or 0
-    return Size(row["n"], size, row["n"] <= max_rows and size <= max_bytes, row["x"])
+    row = df.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("b"),
+        F.count_if(F.lit(False) if mark is None else mark).alias("m"),
+    ).first()
+    fits = row["n"] <= max_rows and row["b"] <= max_bytes
+    return Size(row["n"], row["b"], fits, row["m"])
 
 
 def broadcast_if_small(

@@ -42,48 +42,30 @@ def _topic_pattern(topic: Column) -> Column:
 
 
 def topic_matches(texts: DataFrame, definitions: DataFrame) -> DataFrame:
-    """Articles that hold an alias as a phrase, with whether any topic of the resource
-    occurs anywhere in the text: ``doc_id, text, resource_name, alias, topics,
-    article_topic_match``. Aliases of an article ride as one array until its text has
-    been read, so the text is not copied per alias in the shuffle."""
-    aliases = eligible_aliases(definitions)
-    hits = phrase_hits(texts, aliases)
-    named = hits.join(F.broadcast(aliases), ["resource_id", "alias"])
-    per_doc = named.groupBy("doc_id").agg(
-        F.collect_set(F.struct("resource_name", "alias", "topics")).alias("wanted")
-    )
-    rows = texts.select("doc_id", "text").join(per_doc, "doc_id")
-    flagged = F.transform(
-        "wanted",
-        lambda w: F.struct(
-            w["resource_name"].alias("resource_name"),
-            w["alias"].alias("alias"),
-            w["topics"].alias("topics"),
-            F.exists(w["topics"], lambda t: F.contains("lowered", t)).alias("article_topic_match"),
-        ),
-    )
-    return rows.withColumn("lowered", F.lower("text")).select(
-        "doc_id", "text", flagged.alias("wanted")
-    )
+    """Articles with each alias they hold as a phrase, and whether any topic of the
+    resource occurs anywhere in the text: ``doc_id, text, resource_name, alias, topics,
+    article_topic_match``."""
+    rows = phrase_hits(texts, eligible_aliases(definitions)).drop("resource_id")
+    topic = F.exists("topics", lambda t: F.contains("lowered", t))
+    flagged = rows.withColumn("lowered", F.lower("text")).withColumn("article_topic_match", topic)
+    return flagged.drop("lowered")
 
 
 def article_topic(texts: DataFrame, definitions: DataFrame) -> DataFrame:
-    rows = topic_matches(texts, definitions).select("doc_id", F.inline("wanted"))
-    return rows.select("doc_id", "resource_name", "alias", "article_topic_match")
+    return topic_matches(texts, definitions).drop("text", "topics")
 
 
 def label_blocks(texts: DataFrame, definitions: DataFrame) -> DataFrame:
     """Blocks (sentences) that contain an alias, anywhere and in any case: label 1 where
-    a topic of the resource stands in the block as a word, else 0."""
+    a topic of the resource stands in the block as a word, else 0. Each text is cut where
+    it was read; nothing is shuffled."""
     docs = topic_matches(texts, definitions)
-    blocks = split_sentences(docs.select(F.struct("doc_id", "wanted").alias("doc"), "text"), key="doc")
-    rows = blocks.select(
-        F.col("doc.doc_id").alias("doc_id"),
-        F.col("sent_no").alias("block_no"),
-        F.col("sentence").alias("text"),
-        F.lower("sentence").alias("lowered"),
-        F.inline("doc.wanted"),
-    ).where(F.contains("lowered", F.lower("alias")))
+    about = F.struct("doc_id", "resource_name", "alias", "topics", "article_topic_match")
+    rows = (
+        split_sentences(docs.select(about.alias("about"), "text"), key="about")
+        .select("about.*", "sent_no", "sentence", F.lower("sentence").alias("lowered"))
+        .where(F.contains("lowered", F.lower("alias")))
+    )
     topic = F.exists("topics", lambda t: F.rlike("lowered", _topic_pattern(t)))
     return rows.select(
         "resource_name",
@@ -91,8 +73,8 @@ def label_blocks(texts: DataFrame, definitions: DataFrame) -> DataFrame:
         topic.cast("int").alias("label"),
         "article_topic_match",
         "doc_id",
-        "block_no",
-        strip(F.col("text")).alias("paragraph_text"),
+        F.col("sent_no").alias("block_no"),
+        F.col("sentence").alias("paragraph_text"),
     )
 
 

@@ -546,12 +546,13 @@ def mentions_stream(spark, sf):
 @query
 def counts_stream(spark, sf):
     out = run_folder(spark, "counts")
+    inputs.weights(spark, sf).write.parquet(f"{out}/weights")
     arriving = _stream(spark, sf, "documents").select("doc_id", "text")
     jobs.counts_stream(
         arriving,
         inputs.aliases(spark),
         inputs.CASE_SENSITIVE,
-        inputs.weights(spark, sf),
+        spark.read.parquet(f"{out}/weights"),
         f"{out}/rows",
         f"{out}/state",
     ).awaitTermination()

@@ -70,7 +70,8 @@ def counts_stream(
     path: str,
     checkpoint: str,
 ) -> StreamingQuery:
-    """Prediction counts per batch, kept as partial counts for :func:`current_counts`."""
+    """Prediction counts per batch, kept as partial counts for :func:`current_counts`.
+    ``weights`` is read by every batch: pass a stored table."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         scored = score_mentions(find_in_texts(batch, aliases, case_sensitive), weights)
