@@ -37,7 +37,8 @@ def pair_words(text: Column, alias: Column) -> Column:
 
 
 def feature_of(word: Column) -> Column:
-    number = F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int")
+    # Never null, or the optimizer adds a null test that hashes every word again.
+    number = F.coalesce(F.conv(F.substring(F.md5(word), 1, 4), 16, 10).cast("int"), F.lit(PRIOR))
     return F.when(word == "", F.lit(PRIOR)).otherwise(number)
 
 
