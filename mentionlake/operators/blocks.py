@@ -13,6 +13,8 @@ from mentionlake.functions.text import sentence_array, strip
 
 BLOCK_SCHEMA = "doc_id string, block_no int, kind string, depth int, text string"
 
+FLUSH_CHARS = 8_000_000  # markup read before a worker hands on what it has
+
 # Labels the output text carries.
 CAPTION = "[TABLE-CAPTION] "
 HEADER = "[COLUMN-HEADER] "
@@ -132,14 +134,18 @@ def extract_blocks(raw: DataFrame, glue: str = "", mode: str = "reading") -> Dat
 
     def blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
+            out, size = [], 0
             for doc_id, xml in zip(frame["doc_id"], frame["xml"]):
                 try:
                     found = walk(ET.fromstring(xml), glue)
-                    out = [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(found)]
+                    out += [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(found)]
                 except ET.ParseError as error:
-                    out = [(doc_id, 0, "unparsed", 0, str(error))]
-                if out:
+                    out.append((doc_id, 0, "unparsed", 0, str(error)))
+                size += len(xml)
+                if size > FLUSH_CHARS:
                     yield pd.DataFrame(out, columns=names)
+                    out, size = [], 0
+            yield pd.DataFrame(out, columns=names)
 
     rows = raw.select(F.col("doc_id").cast("string").alias("doc_id"), "xml")
     return rows.where(F.col("xml").isNotNull()).mapInPandas(blocks, BLOCK_SCHEMA)

@@ -47,7 +47,7 @@ def _sentence_tokens(special: list[str]) -> Column:
     tokens = letter_runs(lowered)
     # Case-sensitive aliases need the runs of the unlowered text; they differ only here.
     tokens = F.when(
-        sentence.rlike(FOLDS_TO_ASCII), F.array_union(tokens, letter_runs(ascii_lower(sentence)))
+        F.col("folds"), F.array_union(tokens, letter_runs(ascii_lower(sentence)))
     ).otherwise(tokens)
     if len(special) > FEW_GRAMS:  # the list is cut, so cut all pieces of the sentence
         grams = F.array_union(_grams(lowered), _grams(sentence))
@@ -71,7 +71,9 @@ def _hits(boundary: str) -> Column:
     else:
         # The older matcher looks at the lowered sentence in both modes.
         subject = F.col("lowered")
-    return F.col("plain") | F.rlike(subject, _boundaries(F.col("core"), boundary))
+    # A whole token equal to a one-word alias is a match, if it is one of the lowered text.
+    proven = F.col("plain") & ~F.col("folds")
+    return proven | F.rlike(subject, _boundaries(F.col("core"), boundary))
 
 
 def match_aliases(
@@ -80,6 +82,7 @@ def match_aliases(
     boundary: str = "lookaround",
     key: str = "doc_id",
     max_rows: int = MAX_ROWS,
+    token_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Every (sentence, alias) pair where the alias occurs, once.
 
@@ -87,7 +90,7 @@ def match_aliases(
     the regex runs on the pairs that share one. A dictionary within ``max_rows`` is
     broadcast, so sentences are not shuffled; see :func:`anchor_join` for larger ones.
     """
-    patterns = alias_patterns(aliases, boundary)
+    patterns = alias_patterns(aliases, boundary, token_counts)
     anchor = F.col("anchors")[0]
     letterless = anchor.startswith(GRAM) | (anchor == ANYWHERE)
     columns = ["resource_name", "alias", "literal", "core", "anchors"]
@@ -97,6 +100,7 @@ def match_aliases(
         found = patterns.where(letterless).select(anchor.alias("a")).distinct()
         special = [r["a"] for r in found.limit(FEW_GRAMS + 1).collect()]
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
+    rows = rows.withColumn("folds", F.col("sentence").rlike(FOLDS_TO_ASCII))
     rows = rows.withColumn("tokens", _sentence_tokens(special))
     by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("norm")
     pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
@@ -107,6 +111,14 @@ def match_aliases(
     return pairs.where(once & _hits(boundary)).select(key, "sent_no", "sentence", *ALIAS_FIELDS)
 
 
+def token_counts(sentences: DataFrame) -> DataFrame:
+    """``token, n``: in how many sentences each letter run occurs. Worth one pass where a
+    dictionary has many aliases of common words; store the result and reuse it."""
+    tokens = letter_runs(F.lower("sentence"))
+    rows = sentences.select(F.explode_outer(tokens).alias("token")).where(F.col("token") != "")
+    return rows.groupBy("token").agg(F.count("*").alias("n"))
+
+
 def suppress_substrings(pairs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Inside one sentence drop each mention whose lowered alias is a proper part of
     another matched lowered alias; equal lowered aliases keep each other. A sentence's

@@ -95,7 +95,9 @@ def flexible_core(c: Column) -> Column:
     return F.replace(core, F.lit(r"\."), F.lit(r"\.?"))
 
 
-def alias_patterns(aliases: DataFrame, boundary: str = "lookaround") -> DataFrame:
+def alias_patterns(
+    aliases: DataFrame, boundary: str = "lookaround", token_counts: DataFrame | None = None
+) -> DataFrame:
     """Adds what detection needs to each alias.
 
     ``norm``      the alias as compared (lowered unless case-sensitive)
@@ -103,6 +105,9 @@ def alias_patterns(aliases: DataFrame, boundary: str = "lookaround") -> DataFram
     ``literal``   the strict body of the volume re-check, original case
     ``plain``     the alias is one run of letters: finding its anchor proves the match
     ``anchors``   tokens, one of which is in every sentence the alias matches
+
+    ``token_counts`` (``token, n``, from :func:`~mentionlake.operators.detect.token_counts`)
+    lets an alias of several words be looked up by its rarest word, not its longest.
     """
     cs = F.col("case_sensitive")
     norm = F.when(cs, F.col("alias")).otherwise(F.lower("alias"))
@@ -115,10 +120,12 @@ def alias_patterns(aliases: DataFrame, boundary: str = "lookaround") -> DataFram
         raise ValueError("boundary must be 'lookaround' or 'consuming'")
     folded = F.when(cs, ascii_lower(F.col("alias"))).otherwise(F.lower("alias"))
     rows = rows.withColumn("core", core).withColumn("plain", plain).withColumn("_folded", folded)
-    return _with_anchors(rows, dots_optional=boundary == "lookaround")
+    return _with_anchors(rows, boundary == "lookaround", token_counts)
 
 
-def _with_anchors(rows: DataFrame, dots_optional: bool) -> DataFrame:
+def _with_anchors(
+    rows: DataFrame, dots_optional: bool, token_counts: DataFrame | None
+) -> DataFrame:
     """Letters next to a match are forbidden, so a letter run of the alias is a whole
     letter run of the sentence too, unless a dot beside it is optional: in ``U.S.A``
     the first run seen is ``u``, ``us`` or ``usa``. One stretch of letters and dots
@@ -141,6 +148,14 @@ def _with_anchors(rows: DataFrame, dots_optional: bool) -> DataFrame:
     }
     for name, sql in steps.items():
         rows = rows.withColumn(name, F.expr(sql))
+    if token_counts is not None:
+        single = "transform(filter(_runs, r -> size(r) = 1), r -> r[0])"
+        words = rows.select("_folded", F.explode(F.expr(single)).alias("token")).distinct()
+        rarest = words.join(token_counts, "token", "left").groupBy("_folded").agg(
+            F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("_rarest")
+        )
+        chosen = F.when(F.col("_rarest").isNotNull(), F.array("_rarest")).otherwise(F.col("anchors"))
+        rows = rows.join(rarest, "_folded", "left").withColumn("anchors", chosen).drop("_rarest")
     return rows.drop("_folded", "_runs", "_best", "_solid", "_longest")
 
 

@@ -183,3 +183,14 @@ def test_volume_counter_matches_plain_count(random_case):
     got = detect.recheck_volume(pairs, threshold=0).collect()
     counts = Counter((d, a) for d, _, _, a in ((r.doc_id, 0, 0, r.alias) for r in pairs.collect()))
     assert all(counts[(r.doc_id, r.alias)] == r.alias_hits for r in got)
+
+
+def test_rarest_word_as_anchor(random_case, spark):
+    sentences, aliases, s_df, a_df = random_case
+    counts = detect.token_counts(s_df)
+    got = detect.match_aliases(s_df, a_df, token_counts=counts).collect()
+    assert {(r.doc_id, r.sent_no, r.resource_id, r.alias) for r in got} == brute(sentences, aliases)
+    common = spark.createDataFrame([("license", 90), ("of", 3)], "token string, n long")
+    one = spark.createDataFrame([("License of",), ("a.b license",)], "alias string")
+    picked = alias_patterns(one.withColumn("case_sensitive", F.lit(False)), token_counts=common)
+    assert {r.alias: r.anchors for r in picked.collect()} == {"License of": ["of"], "a.b license": ["license"]}
