@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -48,3 +51,22 @@ def _local_folder() -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder for one run of one job."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application, unless they
+    find it by themselves (same folder or PYTHONPATH). For ``spark-submit`` pass it
+    with ``--py-files`` instead; then this does nothing new."""
+    root = Path(__file__).resolve().parent.parent
+    context = spark.sparkContext
+    seen = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if str(root) in map(os.path.realpath, filter(None, seen)) or getattr(context, "_mentionlake_shipped", False):
+        return
+    if not os.path.isdir(root / "mentionlake"):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="mentionlake-")) / "mentionlake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted((root / "mentionlake").rglob("*.py")):
+            out.write(path, path.relative_to(root))
+    context.addPyFile(str(archive))
+    context._mentionlake_shipped = True
