@@ -62,9 +62,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Anything in ASCII but letters and digits, for words without punctuation.
+NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(data: np.ndarray, rows: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte and end of every word, and the number of the first word of each row."""
-    inside = ~_IS_SPACE[data]
+    inside = ~between[data]
     first = np.zeros(len(data) + 1, dtype=bool)
     first[rows] = True
     before = np.empty(len(data), dtype=bool)
@@ -77,10 +81,10 @@ def word_spans(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, rows)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word of every row, and the rows' offsets into them."""
     data, rows = text_bytes(texts)
-    starts, ends, offsets = word_spans(data, rows)
+    starts, ends, offsets = word_spans(data, rows, between)
     if not len(starts):
         return np.zeros(0, dtype=np.uint64), offsets
     powers, inverses = _tables(len(data))
@@ -101,3 +105,17 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
         total = (total ^ words[i : i + n]) * np.uint64(0xFF51AFD7ED558CCD)
         total ^= total >> np.uint64(29)
     return mix(total)
+
+
+class Runs:
+    """Hashes of any runs of words of one text, from running sums."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        powers, self._inverses = _tables(len(words) + 1)
+        self._total = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(words * powers[: len(words)], out=self._total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        length = (end - start).astype(np.uint64)
+        value = (self._total[end] - self._total[start]) * self._inverses[start]
+        return mix(value + length * np.uint64(0xD6E8FEB86659FD93))

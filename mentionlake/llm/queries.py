@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontaminate, mixing, near_dups, quality, token_files
+from mentionlake.llm import decontaminate, mixing, near_dups, quality, substrings, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,10 +47,21 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_plan(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dups": op2_near_dups,
     "op3_token_files": op3_token_files,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix": op6_mix,
+    "op7_warc": op7_warc,
+    "op10_substrings": op10_substrings,
 }
