@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontaminate, mixing, near_dups, quality, substrings, token_files, warc
+from mentionlake.llm import decontaminate, mixing, near_dups, quality, substrings, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.without_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -63,5 +67,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_mix": op6_mix,
     "op7_warc": op7_warc,
+    "op9_toxicity": op9_toxicity,
     "op10_substrings": op10_substrings,
 }
