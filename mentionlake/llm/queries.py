@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontaminate, mixing, near_dups, quality, substrings, token_files, toxicity, warc
+from mentionlake.llm import decontaminate, licenses, mixing, near_dups, quality, substrings, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.drop("hits")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dups": op2_near_dups,
     "op3_token_files": op3_token_files,
+    "op4_licenses": op4_licenses,
     "op5_decontaminate": op5_decontaminate,
     "op6_mix": op6_mix,
     "op7_warc": op7_warc,
