@@ -1,3 +1,88 @@
 """SQL twins of the operators' queries, written for DuckDB from the contracts."""
 
-ORACLES: dict[str, str] = {}
+OP5 = r"""
+WITH grams AS (
+    SELECT kind, id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS g
+    FROM (
+        SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w
+        FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
+              UNION ALL SELECT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL)
+    ), unnest(range(1, len(w) - 3)) AS t(i)
+    WHERE len(w) >= 5
+), items AS (SELECT DISTINCT id, g FROM grams WHERE kind = 'i'),
+sizes AS (SELECT id, count(*) AS n FROM items GROUP BY id),
+docs AS (SELECT DISTINCT id, g FROM grams WHERE kind = 'd')
+SELECT d.id AS doc_id, i.id AS item_id, s.n AS n_shingles, count(*) AS n_shared, count(*) / s.n AS containment
+FROM docs d JOIN items i USING (g) JOIN sizes s ON s.id = i.id
+GROUP BY d.id, i.id, s.n HAVING count(*) >= 0.8 * s.n
+"""
+
+OP6 = r"""
+WITH d AS (
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS size
+    FROM documents
+), s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+    FROM d GROUP BY source
+), w AS (
+    SELECT *, CASE place % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight, 2 * source_size AS cap FROM s
+), l AS (
+    SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+               - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM w
+), f AS (
+    SELECT arg_min(level, (cap / weight, place)) AS final FROM l WHERE level <= cap / weight
+), t AS (
+    SELECT source, source_size, place, least(CAST(cap AS DOUBLE), coalesce(final * weight, cap)) AS target FROM w, f
+), p AS (
+    SELECT doc_id, size, source_size, target, place,
+           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), q AS (
+    SELECT *, floor(target / greatest(source_size, 1)) AS whole FROM p
+), r AS (
+    SELECT *, CASE WHEN size > 0 THEN least(whole + CASE WHEN start + size / 2 <= target - whole * source_size THEN 1 ELSE 0 END, 2) ELSE 0 END AS passes,
+           least(start / greatest(target, 1.0), 1.0) AS part,
+           CASE place % 3 WHEN 0 THEN 1.5::DOUBLE WHEN 1 THEN 1 ELSE 0.5 END AS a,
+           CASE place % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1 ELSE 1.5 END AS b
+    FROM q
+)
+SELECT doc_id, size, source_size, target, CAST(passes * size AS BIGINT) AS taken,
+       CASE WHEN passes > 0 THEN round(CASE WHEN a = b THEN part ELSE (sqrt(a * a + (b - a) * (a + b) * part) - a) / (b - a) END, 9) END AS position
+FROM r
+"""
+
+OP7 = r"""
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), b AS (
+    SELECT *, CAST(unhex(hex) AS BIT)::VARCHAR AS bits, max(page_id) OVER (PARTITION BY hex) AS largest FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST(list_sum(list_transform(range(0, 5), j -> CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * CAST(pow(2, 4 - j) AS INT))) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < largest THEN largest END AS refers_to
+FROM b
+"""
+
+OP10 = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+), f AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(list_slice(w, i, i + 19), ' ')) ORDER BY doc_id, i) AS r
+    FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) >= 20
+), gone AS (
+    SELECT DISTINCT doc_id, p FROM f, unnest(range(i, i + 20)) AS u(p) WHERE r > 1
+), words AS (
+    SELECT doc_id, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(p)
+), kept AS (
+    SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op6_mix": OP6, "op7_warc": OP7, "op10_substrings": OP10}

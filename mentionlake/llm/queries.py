@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontaminate, licenses, mixing, near_dups, quality, substrings, token_files, toxicity, warc
+from mentionlake.llm import decontaminate, licenses, mixing, near_dups, quality, substrings, surrogates, token_files, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents"), "production key")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_mix": op6_mix,
     "op7_warc": op7_warc,
+    "op8_surrogates": op8_surrogates,
     "op9_toxicity": op9_toxicity,
     "op10_substrings": op10_substrings,
 }
