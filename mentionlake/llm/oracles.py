@@ -4,7 +4,7 @@ OP5 = r"""
 WITH grams AS (
     SELECT kind, id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS g
     FROM (
-        SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w
+        SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
         FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
               UNION ALL SELECT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL)
     ), unnest(range(1, len(w) - 3)) AS t(i)
@@ -20,7 +20,7 @@ GROUP BY d.id, i.id, s.n HAVING count(*) >= 0.8 * s.n
 OP6 = r"""
 WITH d AS (
     SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
-           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS size
+           len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
     FROM documents
 ), s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
@@ -61,8 +61,8 @@ WITH p AS (
     SELECT *, CAST(unhex(hex) AS BIT)::VARCHAR AS bits, max(page_id) OVER (PARTITION BY hex) AS largest FROM p
 )
 SELECT page_id, payload_bytes,
-       array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-           1 + CAST(list_sum(list_transform(range(0, 5), j -> CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * CAST(pow(2, 4 - j) AS INT))) AS INT), 1)), '') AS payload_digest,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST(list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * CAST(pow(2, 4 - j) AS INT))) AS INT), 1)), '') AS payload_digest,
        CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < largest THEN largest END AS refers_to
 FROM b
@@ -70,14 +70,16 @@ FROM b
 
 OP10 = r"""
 WITH d AS (
-    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), words AS (
+    SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS x FROM d
+), runs AS (
+    SELECT doc_id, p, count(*) OVER run AS c, md5(string_agg(x, ' ') OVER run) AS g FROM words
+    WINDOW run AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
 ), f AS (
-    SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(list_slice(w, i, i + 19), ' ')) ORDER BY doc_id, i) AS r
-    FROM d, unnest(range(1, len(w) - 18)) AS t(i) WHERE len(w) >= 20
+    SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS r FROM runs WHERE c = 20
 ), gone AS (
-    SELECT DISTINCT doc_id, p FROM f, unnest(range(i, i + 20)) AS u(p) WHERE r > 1
-), words AS (
-    SELECT doc_id, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(p)
+    SELECT DISTINCT doc_id, u.q AS p FROM f, unnest(range(p, p + 20)) AS u(q) WHERE r > 1
 ), kept AS (
     SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
 ), n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)

@@ -23,17 +23,19 @@ from mentionlake.llm.stage import new_folder, staged
 
 END_ID = 2
 #: Words whose ids a worker remembers; then it starts afresh.
-REMEMBERED = 300_000
-_LETTERS = re.compile(r"[a-z]+").fullmatch
-_SPLIT = re.compile(r"([A-Za-z]+)([.,!|:;?]*)").fullmatch
+REMEMBERED = 600_000
+_SPLIT = re.compile(r"([^\W\d_]+)([.,!|:;?$%&*#]*)").fullmatch
+#: Capitals whose lower case depends on what does the lowering.
+_ODD_CAPITALS = re.compile("[\u03a3\u0130]").search
 
 
 class WordEncoder:
     """Ids of a text, word by word, for tokenizers that never join across white space.
 
-    Equal words are encoded once while they are remembered. Two facts about the
-    tokenizer are checked when it is loaded and used only if they hold: case is ignored,
-    and letters are split from the punctuation behind them.
+    Equal words are encoded once while they are remembered, new ones together as one
+    text. What this takes for granted of the tokenizer (case is ignored, letters part
+    from the punctuation behind them, a token's text shows the end of a word) is probed
+    when it is loaded; a tokenizer of another kind encodes whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,35 +47,57 @@ class WordEncoder:
         a, b, c, d = (self._plain(t) for t in probe)
         self.by_word = self._plain("ab cd") == self._plain("ab") + self._plain("cd") == self._plain("ab\n\t cd")
         self.folds = a == b and c == d
-        self.known: dict[str, list[int]] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.known: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _encode_each(self, words: list[str]) -> None:
+        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of letters alone, a thousand at a time as one text, cut at word ends."""
+        groups = [words[i : i + 1000] for i in range(0, len(words), 1000)]
+        texts = [" ".join(g) for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(group):
+                self._encode_each(group)
+                continue
+            data, at = ids.tobytes(), 0
+            for word, end in zip(group, (4 * ends).tolist(), strict=True):
+                self.known[word] = data[at:end]
+                at = end
+
     def _learn(self, words: set[str]) -> None:
-        known, split = self.known, {}
-        need: set[str] = set()
+        known, split, letters, others = self.known, {}, set(), set()
         for word in words:
-            m = _SPLIT(word) if self.folds else None
+            m = _SPLIT(word) if self.folds and not _ODD_CAPITALS(word) else None
             parts = tuple(p for p in (m[1].lower(), m[2]) if p) if m else (word,)
             split[word] = parts
-            need.update(p for p in parts if p not in known)
-        batch = list(need)
-        for part, found in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
-            known[part] = found.ids
+            for p in parts:
+                if p not in known:
+                    (letters if m and p.isalpha() else others).add(p)
+        self._encode_letters(list(letters))
+        self._encode_each(list(others))
         for word, parts in split.items():
             if len(parts) > 1 or parts[0] != word:
-                known[word] = [i for p in parts for i in known[p]]
+                known[word] = b"".join([known[p] for p in parts])
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_word:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, "<u4") for e in found]
         if len(self.known) > REMEMBERED:
             self.known = {}
         cut = [t.split() for t in texts]
         self._learn({w for words in cut for w in words} - self.known.keys())
-        known = self.known
-        return [[i for w in words for i in known[w]] for words in cut]
+        get = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in cut]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -106,8 +130,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str) -> It
                 writer = pfor.Writer(stream)
             texts = [t or "" for t in piece.column("text").to_pylist()]
             for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode(texts), strict=True):
-                ids.append(END_ID)
-                writer.add(doc_id, np.array(ids, dtype=np.uint32))
+                writer.add(doc_id, np.append(ids, np.uint32(END_ID)))
     if writer is not None:
         writer.close()
         stream.close()
