@@ -15,7 +15,7 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = np.ones(1, dtype=np.uint64)
 _inverses = np.ones(1, dtype=np.uint64)
 #: Bytes of text that are hashed at once; a longer text is hashed alone.
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = 1 << max(12, int(n - 1).bit_length())
         steps = np.full(size, _BASE, dtype=np.uint64)
         steps[0] = 1
         _powers = np.multiply.accumulate(steps)
