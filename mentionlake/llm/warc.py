@@ -106,13 +106,13 @@ def _head(file, at: int, size: int) -> tuple[bytes, int] | None:
         want *= 8
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     """``path, entry, exit`` of every candidate of each chunk; a candidate whose chain
     breaks inside the chunk has no exit."""
     for batch in batches:
         for path, size, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             fs, inner = pafs.FileSystem.from_uri(path)
-            stop = min(at + CHUNK, size)
+            stop = min(at + chunk, size)
             with fs.open_input_file(inner) as file:
                 data = file.read_at(min(stop + len(MAGIC) - 1, size) - at, at)
                 found, place = [], data.find(MAGIC)
@@ -126,19 +126,19 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for entry, after in reversed(found):
                 exits[entry] = exits.get(after) if after < stop else after if after <= size else None
             yield pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(exits)), pa.array(list(exits), pa.int64()), pa.array(list(exits.values()), pa.int64())],
+                [pa.array([path] * len(exits), pa.string()), pa.array(list(exits), pa.int64()), pa.array(list(exits.values()), pa.int64())],
                 names=["path", "entry", "exit"],
             )
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
     for batch in batches:
         for path, size, entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             fs, inner = pafs.FileSystem.from_uri(path)
-            stop = min((entry // CHUNK + 1) * CHUNK, size)
+            stop = min((entry // chunk + 1) * chunk, size)
             with fs.open_input_file(inner) as file:
                 at, rows, held = entry, [], 0
                 while at < stop:
@@ -155,14 +155,14 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     name = lambda x: None if x is None or x.endswith(":none>") else int(x[10:-1])
                     rows.append((name(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], fields["WARC-Type"], name(refers), n, digest, payload))
                     at, held = body + length + len(END), held + length
-                    if held > CHUNK:
+                    if held > chunk:
                         yield pack(rows)
                         rows, held = [], 0
                 if rows:
                     yield pack(rows)
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
+def read_archives(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """``page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload`` of
     every record that the chain from its file's start reaches; length and digest of a
     revisit are those of the payload it refers to, which it does not repeat.
@@ -171,8 +171,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     """
     folder = new_folder(manifest.sparkSession, "warc")
     files = manifest.select("path", "bytes").where("bytes > 0")
-    chunks = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(CHUNK).cast("bigint"))).alias("at"))
-    jump = chunks.repartition("path", "at").mapInArrow(_candidates, "path string, entry bigint, exit bigint")
+    chunks = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(chunk).cast("bigint"))).alias("at"))
+    jump = chunks.repartition("path", "at").mapInArrow(partial(_candidates, chunk=chunk), "path string, entry bigint, exit bigint")
     jump = staged(jump.where("exit is not null"), folder, "jump0")
     reached = staged(files.select("path", F.lit(0).cast("bigint").alias("entry")), folder, "reached0")
     count, step = reached.count(), 0
@@ -189,7 +189,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         jump = staged(jump.select("path", "entry", F.coalesce("_exit", "exit").alias("exit")), folder, f"jump{step}")
     starts = reached.join(files, "path").where("entry < bytes").select("path", "bytes", "entry")
     return starts.repartition("path", "entry").mapInArrow(
-        _records,
+        partial(_records, chunk=chunk),
         "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary",
     )
 
