@@ -8,13 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.functions.ids import BUNDLE_NAME, CHUNK_NAME, id_number, md5_shard, shard_file
-from mentionlake.functions.text import phrase_text
+from mentionlake.functions.ids import BUNDLE_NAME, CHUNK_NAME, id_number, leading_number, md5_shard, shard_file
+from mentionlake.functions.text import phrase_text, strip
 from mentionlake.operators.anchors import anchor_join
 from mentionlake.operators.ranking import first_per_key, global_rank, top_n_per_key
 from mentionlake.operators.sizing import MAX_ROWS, broadcast_if_small, measure
 
-MAX_LISTED_IDS = 100
+# The metadata fields of an article.
 METADATA_FIELDS = [
     "id", "pmcid", "pmid", "title", "firstPublicationDate", "authorString",
     "authorList", "citedByCount", "grantsList", "keywordList", "meshHeadingList",
@@ -46,7 +46,7 @@ def phrase_hits(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS)
     )
     phrases = phrases.withColumn("anchor", F.array_max(by_length)["w"])
     rows = texts.where("has_full_text").select(
-        "doc_id", "text", phrase_text(F.col("text")).alias("body")
+        "doc_id", "text", F.coalesce(phrase_text(F.col("text")), F.lit("")).alias("body")
     )
     rows = rows.withColumn("words", F.array_distinct(F.split("body", " ")))
     small = measure(phrases, max_rows).fits
@@ -54,12 +54,10 @@ def phrase_hits(texts: DataFrame, aliases: DataFrame, max_rows: int = MAX_ROWS)
     return pairs.where(F.contains("body", "phrase")).select("doc_id", "text", *aliases.columns)
 
 
-def listed_articles(articles: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Articles with full text whose id was named explicitly, at most 100 ids."""
-    wanted = sorted({i.strip() for i in ids if i.strip()})
-    if len(wanted) > MAX_LISTED_IDS:
-        raise ValueError(f"at most {MAX_LISTED_IDS} ids can be listed")
-    return articles.where(F.col("has_full_text") & F.col("pmcid").isin(wanted))
+def listed_articles(articles: DataFrame, ids: DataFrame) -> DataFrame:
+    """Articles with full text whose id is named in ``ids`` (``pmcid``), however many."""
+    wanted = ids.select(strip(F.col("pmcid")).alias("pmcid")).where("pmcid <> ''").distinct()
+    return articles.where("has_full_text").join(wanted, "pmcid", "left_semi").select(*articles.columns)
 
 
 def first_seen(records: DataFrame, order: Sequence[str] = ("seen_at", "resource_pos")) -> DataFrame:
@@ -89,9 +87,13 @@ def cluster_by_shard(ids: DataFrame, shards: int = 128) -> DataFrame:
 
 def assign_chunks(ids: DataFrame, chunks: int) -> DataFrame:
     """Distinct ids in numeric order cut into ``chunks`` of ``ceil(total / chunks)``; the
-    last one takes what is left. No chunks means one."""
-    rows = ids.select("pmcid").distinct().withColumn("id_num", id_number(F.col("pmcid")))
-    ranked = global_rank(rows, "id_num", "rank")
+    last one takes what is left. No chunks means one.
+
+    The number is the digits that follow the prefix: none counts as 0, too many as the
+    largest number. Ids of equal number follow each other by name, so every id has a rank.
+    """
+    rows = ids.select("pmcid").distinct().withColumn("id_num", leading_number(F.col("pmcid")))
+    ranked = global_rank(rows, "id_num", "rank", tie="pmcid")
     if chunks <= 1:
         return ranked.withColumn("chunk", F.lit(1).cast("bigint"))
     per = F.ceil(rows.agg(F.count("*")).scalar() / F.lit(chunks))

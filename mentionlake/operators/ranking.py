@@ -44,12 +44,13 @@ def _running_offset(counts: DataFrame, child: str, parent: str | None, out: str)
     return counts.withColumn(out, F.coalesce(F.sum("_n").over(w), F.lit(0)))
 
 
-def global_rank(df: DataFrame, key: str, out: str = "rank") -> DataFrame:
-    """0-based rank over the whole frame by a distinct, non-negative bigint key.
+def global_rank(df: DataFrame, key: str, out: str = "rank", tie: str | None = None) -> DataFrame:
+    """0-based rank over the whole frame by a bigint key without nulls; rows of equal key
+    follow ``tie``.
 
     Keys fall into buckets of 2^16 values; buckets, bucket groups and groups of
     groups each rank inside windows of at most 2^16 rows, so nothing is sorted in
-    one place whatever the number of rows. Only the top level, at most 2^15 rows
+    one place whatever the number of rows. Only the top level, at most 2^16 rows
     for any bigint, is ranked as a whole.
     """
     b = LEVEL_BITS
@@ -66,7 +67,7 @@ def global_rank(df: DataFrame, key: str, out: str = "rank") -> DataFrame:
     o1 = _running_offset(c1, "_b1", "_b2", "_o1").join(o2, "_b2").select(
         "_b1", (F.col("_o1") + F.col("_o2")).alias("_o1")
     )
-    inner = F.row_number().over(Window.partitionBy("_b1").orderBy(key)) - 1
+    inner = F.row_number().over(Window.partitionBy("_b1").orderBy(key, *([tie] if tie else []))) - 1
     return (
         rows.withColumn("_r", inner)
         .join(o1, "_b1")

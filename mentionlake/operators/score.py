@@ -19,21 +19,19 @@ from mentionlake.functions.text import words
 
 FEATURES = 65_536  # four hex digits of md5
 PRIOR = -1
-MAX_TOKENS = 512
 MICRO = 1_000_000
 MIN_CONFIDENCE = 0.9
 
 
 def model_input(text: Column, alias: Column) -> Column:
-    """The one text a classifier sees for a pair; nulls count as empty."""
+    """The one text a classifier sees for a pair, the alias first; nulls count as empty."""
     flat = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
-    return F.concat(F.trim(flat), F.lit(" [SEP] "), F.coalesce(alias, F.lit("")))
+    return F.concat(F.coalesce(alias, F.lit("")), F.lit(" [SEP] "), F.trim(flat))
 
 
 def pair_words(text: Column, alias: Column) -> Column:
-    """Words of a pair in order, cut to the model's window, after one empty word that
-    stands for the pair itself."""
-    return F.concat(F.array(F.lit("")), F.slice(words(model_input(text, alias)), 1, MAX_TOKENS))
+    """All words of a pair in order, after one empty word that stands for the pair itself."""
+    return F.concat(F.array(F.lit("")), words(model_input(text, alias)))
 
 
 def feature_of(word: Column) -> Column:
@@ -76,8 +74,10 @@ def train_weights(examples: DataFrame, balanced: bool = True) -> DataFrame:
 
 
 def _with_probability(df: DataFrame, p1: Column) -> DataFrame:
-    """Class and confidence, the probability of the chosen class; a tie is class 0."""
-    rows = df.withColumn("_p1", p1)
+    """Class and confidence, the probability of the chosen class; a tie is class 0. The
+    probability passes through a one-row explode, so that filters on either column do not
+    make Spark compute it again."""
+    rows = df.select("*", F.explode(F.array(p1)).alias("_p1"))
     hit = F.col("_p1") > 0.5
     return (
         rows.withColumn("prediction", hit.cast("int"))
@@ -86,25 +86,26 @@ def _with_probability(df: DataFrame, p1: Column) -> DataFrame:
     )
 
 
-def score_mentions(mentions: DataFrame, weights: DataFrame) -> DataFrame:
-    """Adds ``prediction`` and ``confidence`` to distinct mentions.
+def weight_array(weights: DataFrame) -> Column:
+    """The weights by place, the prior first, as one literal of ``FEATURES + 1`` numbers,
+    however large the corpus. They are fetched once, so a model trained in the same query
+    is trained here. A feature that ``weights`` leaves out weighs nothing."""
+    every = weights.sparkSession.range(PRIOR, FEATURES).select(F.col("id").cast("int").alias("feature"))
+    full = every.join(weights.select("feature", "weight_micro"), "feature", "left")
+    pairs = F.sort_array(F.collect_list(F.struct("feature", F.coalesce("weight_micro", F.lit(0)).cast("string").alias("w"))))
+    text = full.agg(F.array_join(F.transform(pairs, lambda x: x["w"]), ",").alias("w")).first()["w"]
+    return F.split(F.lit(text), ",").cast("array<bigint>")
 
-    Words are exploded and meet their weight in a broadcast join (the table holds
-    ``FEATURES + 1`` rows, however large the corpus). Summing back groups by the mention
-    itself, which detection left partitioned by article and alias, so no further shuffle.
-    """
-    keys = mentions.columns
-    pieces = F.explode_outer(pair_words(F.col("sentence"), F.col("alias"))).alias("word")
-    table = F.broadcast(weights.select("feature", "weight_micro"))
-    logit = (
-        mentions.select("*", pieces)
-        .withColumn("feature", feature_of(F.col("word")))
-        .join(table, "feature")
-        .groupBy(*keys)
-        .agg(F.sum("weight_micro").alias("_logit"))
-    )
-    p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_logit") / F.lit(float(MICRO))))
-    return _with_probability(logit, p1).drop("_logit")
+
+def score_mentions(mentions: DataFrame, weights: DataFrame) -> DataFrame:
+    """Adds ``prediction`` and ``confidence`` to each mention, summing the weights of its
+    words inside the row: nothing is exploded, grouped or shuffled."""
+    table = weight_array(weights)
+    place = lambda w: feature_of(w) - F.lit(PRIOR)
+    each = F.transform(pair_words(F.col("sentence"), F.col("alias")), lambda w: F.get(table, place(w)))
+    logit = F.aggregate(each, F.lit(0).cast("bigint"), lambda total, w: total + w)
+    p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit / F.lit(float(MICRO))))
+    return _with_probability(mentions, p1)
 
 
 def score_with(

@@ -48,12 +48,12 @@ def phrase(x: str) -> str:
 
 
 def model_text(text: str, alias: str) -> str:
-    return f"trim(replace(coalesce({text}, ''), chr(10), ' ')) || ' [SEP] ' || coalesce({alias}, '')"
+    return f"coalesce({alias}, '') || ' [SEP] ' || trim(replace(coalesce({text}, ''), chr(10), ' '))"
 
 
 def features(text: str, alias: str) -> str:
     return (
-        f"list_transform(list_slice({words(model_text(text, alias))}, 1, 512), "
+        f"list_transform({words(model_text(text, alias))}, "
         "lambda w: ('0x' || substr(md5(w), 1, 4))::INT)"
     )
 
@@ -378,8 +378,11 @@ _c = catalogue.CHUNKS
 oracle(
     "numeric_chunks",
     f"""SELECT pmcid, rank, least(rank // per, {_c} - 1) + 1 AS chunk FROM (
-      SELECT 'PMC' || doc_id AS pmcid, row_number() OVER (ORDER BY doc_id) - 1 AS rank,
-        CAST(ceil(count(*) OVER () / {_c}) AS BIGINT) AS per FROM documents)""",
+      SELECT pmcid, row_number() OVER (
+          ORDER BY coalesce(try_cast(regexp_extract(pmcid, '^PMC([0-9]+)', 1) AS BIGINT), 0), pmcid) - 1 AS rank,
+        CAST(ceil(count(*) OVER () / {_c}) AS BIGINT) AS per
+      FROM (SELECT CASE doc_id % 50 WHEN 7 THEN 'PMCX' || doc_id WHEN 8 THEN 'PMC0' || (doc_id - 2)
+          ELSE 'PMC' || doc_id END AS pmcid FROM documents))""",
 )
 oracle(
     "single_article",

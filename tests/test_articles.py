@@ -1,4 +1,3 @@
-import hashlib
 import json
 import random
 
@@ -47,21 +46,33 @@ def test_phrase_search(spark):
 
 def test_listed_ids(spark):
     arts = spark.createDataFrame([("PMC1", True), ("PMC2", False)], "pmcid string, has_full_text boolean")
-    got = articles.listed_articles(arts, ["PMC1", " PMC1 ", "PMC2", ""]).collect()
+    named = ["PMC1", " PMC1 ", "PMC2", "", None] + [f"PMC9{i}" for i in range(150)]
+    ids = spark.createDataFrame([(n,) for n in named], "pmcid string")
+    got = articles.listed_articles(arts, ids).collect()
     assert [r.pmcid for r in got] == ["PMC1"]
-    with pytest.raises(ValueError):
-        articles.listed_articles(arts, [f"PMC{i}" for i in range(101)])
-
-
-@pytest.mark.parametrize("shards", [1, 37, 128, 2**31 - 1])
-def test_md5_shard(spark, shards):
-    names = [f"PMC{i * 7919}" for i in range(50)]
-    df = spark.createDataFrame([(n,) for n in names], "pmcid string")
-    for r in articles.assign_shards(df, shards).collect():
-        assert r.shard == int(hashlib.md5(r.pmcid.encode()).hexdigest(), 16) % shards
-    width = max(2, len(str(max(1, shards) - 1)))
-    row = articles.assign_shards(df, shards).first()
-    assert row.shard_file == f"metadata_shard_{row.shard:0{width}d}.jsonl.gz"
+
+
+@pytest.mark.parametrize(
+    ("shards", "name", "shard", "file"),
+    [
+        (1, "PMC7919", 0, "metadata_shard_00.jsonl.gz"),
+        (37, "PMC7919", 23, "metadata_shard_23.jsonl.gz"),
+        (128, "PMC7919", 75, "metadata_shard_075.jsonl.gz"),
+        (100, "PMC12", 45, "metadata_shard_45.jsonl.gz"),
+        (2**31 - 1, "PMC12", 1013221135, "metadata_shard_1013221135.jsonl.gz"),
+    ],
+)
+def test_md5_shard_of_known_ids(spark, shards, name, shard, file):
+    row = articles.assign_shards(spark.createDataFrame([(name,)], "pmcid string"), shards).first()
+    assert (row.shard, row.shard_file) == (shard, file)
+
+
+def test_chunks_lose_no_id(spark):
+    names = ["PMC1", "PMC2", "PMC02", "PMC-4", "PPR77", "PMC3.1", "PMC99999999999999999999"]
+    ids = spark.createDataFrame([(n,) for n in names], "pmcid string")
+    got = {r.pmcid: (r["rank"], r.chunk) for r in articles.assign_chunks(ids, 3).collect()}
+    order = ["PMC-4", "PPR77", "PMC1", "PMC02", "PMC2", "PMC3.1", "PMC99999999999999999999"]
+    assert got == {n: (i, min(i // 3, 2) + 1) for i, n in enumerate(order)}
 
 
 @pytest.mark.parametrize("chunks", [0, 1, 3, 7, 40])

@@ -33,6 +33,18 @@ def test_weights_and_scores_by_hand(spark):
     assert (got[2].prediction, got[2].confidence) == (0, round(1 - p2, 6))
 
 
+def test_a_long_text_is_scored_whole_and_with_its_alias(spark):
+    ex = spark.createDataFrame([("good", "x", 1), ("bad", "y", 0)], "text string, alias string, label int")
+    weights = score.train_weights(ex)
+    filler = "word " * 600
+    rows = [(1, filler, "x"), (2, filler, "y"), (3, filler + "good", "y"), (4, None, None)]
+    m = spark.createDataFrame(rows, "doc_id int, sentence string, alias string")
+    got = {r.doc_id: (r.prediction, r.confidence) for r in score.score_mentions(m, weights).collect()}
+    assert got[1][0] == 1 and got[2][0] == 0 and got[3][1] != got[2][1]
+    plan = score.score_mentions(m, weights)._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan.split("Subquery")[0]
+
+
 def test_plug_in_scorer_and_ties(spark):
     m = spark.createDataFrame(
         [(1, "s", "aaaa"), (2, "s", "aaaa"), (3, "s", "a"), (4, "s", "aa")],
