@@ -353,15 +353,15 @@ def test_surrogates_keep_type_and_format(spark, odd, empty):
     spaced, bare = (surrogates.surrogate(key, "card", x) for x in ("4111 1111 1111 1111", "4111111111111111"))
     assert spaced.replace(" ", "") == bare
     assert surrogates.surrogate(key, "person", "Frau Анна Иванова").split()[1] in surrogates.GIVEN["f", "cyrillic"]
-    people = [(i, f"Herr Carl N{chr(97 + i // 26)}{chr(97 + i % 26)}{'x' * (i % 3)} came. Frau Анна Петрова, tel. 555 123 {i:04d}") for i in range(600)]
+    people = [(1000 + i, f"Herr Carl N{chr(97 + i // 26)}{chr(97 + i % 26)}{'x' * (i % 3)} came. Frau Анна Петрова, tel. 555 123 {i:04d}") for i in range(600)]
     docs = spark.createDataFrame(people + [(i, t) for i, t in ODD], "doc_id bigint, text string")
     rows = {r["doc_id"]: r for r in surrogates.replaced(docs, "k").collect()}
-    names = {i: rows[i]["text"].split(" came")[0] for i in range(600)}
+    names = {i: rows[1000 + i]["text"].split(" came")[0] for i in range(600)}
     assert len(set(names.values())) == len({t.split(" came")[0] for _, t in people})
     assert not set(names.values()) & {t.split(" came")[0] for _, t in people}
-    assert len({rows[i]["text"].split("Frau ")[1].split(",")[0] for i in range(600)}) == 1
-    assert len({rows[i]["text"][-12:] for i in range(600)}) == 600
-    assert rows[0 + 1]["n_entities"] == 3 and rows[9]["n_entities"] == 3
+    assert len({rows[1000 + i]["text"].split("Frau ")[1].split(",")[0] for i in range(600)}) == 1
+    assert len({rows[1000 + i]["text"][-12:] for i in range(600)}) == 600
+    assert rows[1001]["n_entities"] == 3 and rows[1009]["n_entities"] == 3
     assert surrogates.replaced(odd, "k").count() == len(ODD) and surrogates.replaced(empty, "k").count() == 0
     nulls = [r["text"] for r in surrogates.replaced(odd, "k").collect() if r["doc_id"] == 0]
     assert nulls == [None]
