@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import html
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,6 +24,71 @@ HEADER = "[COLUMN-HEADER] "
 SKIPPED_SECTIONS = ("orcid",)
 
 
+# --- markup that a strict parser refuses ---
+
+_NAMED = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
+_XML_NAMES = ("amp", "lt", "gt", "quot", "apos")
+_TAG_PREFIX = re.compile(r"(</?)[\w.-]+:(?=[\w.-])")
+_ATTRIBUTE_PREFIX = re.compile(r"(\s)[\w.-]+:([\w.-]+\s*=)")
+
+
+class _Lenient(HTMLParser):
+    """A tree from broken markup: an end tag closes what was opened since its start, one
+    without a start is ignored, and what is open at the end is closed."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = ET.Element("recovered")
+        self.open = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        self.open.append(ET.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs}))
+
+    def handle_startendtag(self, tag, attrs):
+        ET.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag == tag:
+                del self.open[i:]
+                return
+
+    def handle_data(self, data):
+        node = self.open[-1]
+        if len(node):
+            node[-1].tail = (node[-1].tail or "") + data
+        else:
+            node.text = (node.text or "") + data
+
+
+def parse_markup(xml: str):
+    """The tree of an article, or None if there is no element in it.
+
+    Named characters outside XML are resolved, and names lose their namespace, declared or
+    not. Markup that is still not well formed is read leniently.
+    """
+    known = _NAMED.sub(lambda m: m[0] if m[1] in _XML_NAMES else html.unescape(m[0]), xml)
+    try:
+        root = ET.fromstring(known)
+    except ET.ParseError:
+        bare = _ATTRIBUTE_PREFIX.sub(r"\1\2", _TAG_PREFIX.sub(r"\1", known))
+        try:
+            root = ET.fromstring(bare)
+        except ET.ParseError:
+            reader = _Lenient()
+            reader.feed(bare)
+            reader.close()
+            root = reader.root
+            if not len(root):
+                return None
+    for node in root.iter():
+        if isinstance(node.tag, str):
+            node.tag = node.tag.rpartition("}")[2]
+        for name in [n for n in node.attrib if "}" in n]:
+            node.attrib[name.rpartition("}")[2]] = node.attrib.pop(name)
+    return root
+
+
 # --- XML articles: a small tree walk per article, the order of mixed content matters ---
 
 
@@ -125,8 +193,9 @@ def extract_blocks(raw: DataFrame, glue: str = "", mode: str = "reading") -> Dat
     """``doc_id, block_no, kind, depth, text`` from ``raw(doc_id, xml)``.
 
     ``glue`` joins the text pieces of inline markup: nothing by default, so
-    ``the <i>gene</i> x`` reads ``thegenex``; pass a space to keep words apart. Markup
-    that does not parse gives one block of kind ``unparsed``.
+    ``the <i>gene</i> x`` reads ``thegenex``; pass a space to keep words apart. Broken
+    markup is recovered (:func:`parse_markup`); an article without any element gives one
+    block of kind ``unparsed`` without text, see :func:`unparsed_articles`.
     """
     walk = {"reading": _reading_blocks, "training": _training_blocks}[mode]
 
@@ -136,11 +205,11 @@ def extract_blocks(raw: DataFrame, glue: str = "", mode: str = "reading") -> Dat
         for frame in frames:
             out, size = [], 0
             for doc_id, xml in zip(frame["doc_id"], frame["xml"]):
-                try:
-                    found = walk(ET.fromstring(xml), glue)
-                    out += [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(found)]
-                except ET.ParseError as error:
-                    out.append((doc_id, 0, "unparsed", 0, str(error)))
+                root = parse_markup(xml)
+                if root is None:
+                    out.append((doc_id, 0, "unparsed", 0, None))
+                else:
+                    out += [(doc_id, i, k, d, t) for i, (k, d, t) in enumerate(walk(root, glue))]
                 size += len(xml)
                 if size > FLUSH_CHARS:
                     yield pd.DataFrame(out, columns=names)
@@ -151,9 +220,14 @@ def extract_blocks(raw: DataFrame, glue: str = "", mode: str = "reading") -> Dat
     return rows.where(F.col("xml").isNotNull()).mapInPandas(blocks, BLOCK_SCHEMA)
 
 
+def unparsed_articles(blocks: DataFrame) -> DataFrame:
+    """``doc_id`` of the articles that gave no text because they hold no markup."""
+    return blocks.where(F.col("kind") == "unparsed").select("doc_id")
+
+
 def training_blocks(raw: DataFrame) -> DataFrame:
     """Blocks for labelling: the sentences of every paragraph, then captions and rows."""
-    rows = extract_blocks(raw, glue=" ", mode="training")
+    rows = extract_blocks(raw, glue=" ", mode="training").where(F.col("kind") != "unparsed")
     pieces = F.when(F.col("kind") == "paragraph", sentence_array(F.col("text"))).otherwise(
         F.array("text")
     )

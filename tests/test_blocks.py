@@ -41,7 +41,7 @@ def test_reading_blocks(spark):
 def test_glue_and_other_abstract_title(spark):
     xml = "<article><abstract><title>Summary</title><p>a <i>b</i> c</p></abstract></article>"
     assert run(spark, xml, glue=" ")[1] == ("abstract", 1, "# ABSTRACT\n# SUMMARY\na b c")
-    assert run(spark, "<article><p>")[0][0] == "unparsed"
+    assert run(spark, "no markup at all") == [("unparsed", 0, None)]
 
 
 def test_training_blocks(spark):
@@ -73,3 +73,21 @@ def test_assemble(spark):
     df = spark.createDataFrame(rows, "doc_id int, block_no int, kind string, text string")
     got = {r.doc_id: r.text for r in blocks.assemble_text(df).collect()}
     assert got == {1: "a\n\nb\nt\n", 2: "x\n"}
+
+
+def test_broken_markup_is_recovered(spark):
+    body = "<body><sec><title>t</title><p>a %s b</p></sec></body>"
+    cases = {
+        "entity": f"<article>{body % '&nbsp;&eacute;&amp;'}</article>",
+        "prefix": f"<article>{body % '<xlink:ext-link xlink:href=&quot;u&quot;>x</xlink:ext-link>'.replace('&quot;', chr(34))}</article>",
+        "namespace": f'<article xmlns="http://x.example/ns">{body % "x"}</article>',
+        "unclosed": f"<article>{body % '<b>x'}",
+        "crossed": f"<article>{body % '<i><b>x</i></b>'}</article>",
+    }
+    raw = spark.createDataFrame(list(cases.items()) + [("none", "plain words")], "doc_id string, xml string")
+    rows = blocks.extract_blocks(raw, glue=" ")
+    text = {r.doc_id: r.text for r in blocks.assemble_text(rows).collect()}
+    assert set(text) == set(cases)
+    for name, want in {"entity": "é& b", "prefix": "x", "namespace": "a x b", "unclosed": "x", "crossed": "x"}.items():
+        assert want in text[name] and "# T" in text[name], name
+    assert [r.doc_id for r in blocks.unparsed_articles(rows).collect()] == ["none"]
