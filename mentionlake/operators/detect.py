@@ -93,8 +93,8 @@ def match_aliases(
     patterns = alias_patterns(aliases, boundary, token_counts)
     anchor = F.col("anchors")[0]
     letterless = anchor.startswith(GRAM) | (anchor == ANYWHERE)
-    columns = ["resource_name", "alias", "literal", "core", "anchors"]
-    size = measure(patterns.select(*columns), max_rows, mark=letterless)
+    by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("norm")
+    size = measure(by_anchor, max_rows, mark=letterless)
     special = []
     if size.marked:
         found = patterns.where(letterless).select(anchor.alias("a")).distinct()
@@ -102,7 +102,6 @@ def match_aliases(
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
     rows = rows.withColumn("folds", F.col("sentence").rlike(FOLDS_TO_ASCII))
     rows = rows.withColumn("tokens", _sentence_tokens(special))
-    by_anchor = patterns.withColumn("anchor", F.explode("anchors")).drop("norm")
     pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
     # Several anchors of one alias may be in a sentence; the first of them counts.
     once = (F.size("anchors") == 1) | (
@@ -174,10 +173,14 @@ def find_mentions(
     threshold: int = VOLUME_THRESHOLD,
     boundary: str = "lookaround",
     key: str = "doc_id",
+    max_rows: int = MAX_ROWS,
+    token_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Match, suppress, re-check and dedupe. Sentences are shuffled only where they hold
-    a mention: once by sentence, once by article and alias."""
-    kept = suppress_substrings(match_aliases(sentences, aliases, boundary, key), key)
+    a mention: once by sentence, once by article and alias. ``max_rows`` and
+    ``token_counts`` go to :func:`match_aliases`."""
+    matched = match_aliases(sentences, aliases, boundary, key, max_rows, token_counts)
+    kept = suppress_substrings(matched, key)
     return dedupe_mentions(recheck_volume(kept, case_sensitive, threshold, boundary, key), key)
 
 
