@@ -132,9 +132,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> list[list[Test]]:
     rows = measured(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "m")
     values = F.array(*[f.cast("double") for f in _features("m")])
     rows = staged(rows.where(~base_failed("m")).select("bad", (F.pmod("h", F.lit(3)) == 0).alias("held"), values.alias("v")), folder, "sample")
-    steps = [i / BINS for i in range(1, BINS)]
+    steps = [i / BINS for i in range(BINS + 1)]
     cuts = rows.agg(*[F.percentile_approx(F.col("v")[i], steps, 10_000).alias(f"c{i}") for i in range(len(FEATURES))]).first()
     cuts = [sorted(set(c or [])) for c in cuts]
+    # Bounds lie half-way between neighbouring quantiles, away from either side's values.
+    cuts = [[(a + b) / 2 for a, b in zip(c, c[1:])] for c in cuts]
     number = lambda i: F.size(F.filter(F.array(*map(F.lit, cuts[i])), lambda c: F.col("v")[i] > c)) if cuts[i] else F.lit(0)
     rows = staged(rows.select("bad", "held", F.array(*[number(i) for i in range(len(FEATURES))]).alias("bins")), folder, "bins")
     rules: list[list[Test]] = []
