@@ -276,9 +276,10 @@ def extract_blocks_xml(spark, sf):
 @query
 def training_blocks_xml(spark, sf):
     found = blocks.training_blocks(inputs.article_xml(spark, sf))
-    return found.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
-        F.count("*").alias("blocks"), F.sum(F.length("text")).alias("chars")
-    )
+    rows = F.array_sort(F.collect_list(F.struct("block_no", "part_no", "text")))
+    each = found.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(rows.alias("b"))
+    each = each.select("doc_id", F.posexplode(F.transform("b", lambda b: b["text"])).alias("place", "text"))
+    return each.withColumn("place", F.col("place").cast("bigint"))
 
 
 @query
@@ -311,10 +312,12 @@ def mentions_consuming(spark, sf):
     docs = split_sentences(inputs.texts(spark, sf)).withColumn(
         "doc_id", F.concat(F.lit("D"), "doc_id")
     )
-    tables = inputs.table(spark, sf, "conversations").where(F.col("role") == "system").select(
-        F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("doc_id"), "text"
-    )
-    rows = docs.unionByName(split_rows(tables))
+    # Turns of one role stand for tables, which are searched line by line.
+    turn = F.concat(F.lit("C"), "conv_id", F.lit("-"), "turn").alias("doc_id")
+    turns = inputs.table(spark, sf, "conversations").select(turn, "role", "text")
+    tables = split_rows(turns.where(F.col("role") == "system"))
+    spoken = split_sentences(turns.where(F.col("role") != "system"))
+    rows = docs.unionByName(tables).unionByName(spoken)
     found = detect.find_mentions(
         rows, inputs.aliases(spark), inputs.CASE_SENSITIVE, boundary="consuming"
     )

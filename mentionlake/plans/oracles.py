@@ -7,10 +7,23 @@ from __future__ import annotations
 
 import re
 
-from mentionlake.functions.text import DASH, WS, WS_LIST
-from mentionlake.operators.blocks import PAGE_ARTICLE, PAGE_BLOCK, PAGE_ITEM, PAGE_ITEM_END, PAGE_NOISE, PAGE_TAG
 from mentionlake.plans import catalogue, inputs
 
+# Fixed values, written out here so that the twins share no pattern with the jobs: white
+# space of any script, dashes, and the marks of a page.
+WS = (
+    r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+WS_LIST = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
+DASH = r"[-\x{2010}\x{2011}\x{2012}\x{2013}\x{2014}\x{2212}]"
+PAGE_NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+PAGE_ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
+PAGE_BLOCK = r"<(h1|p)(?:\s[^>]*)?>"
+PAGE_ITEM = r"<li(?:\s[^>]*)?>"
+PAGE_ITEM_END = r"(?s)</li>.*$"
+PAGE_TAG = r"<[^>]*>"
+
 ORACLES: dict[str, str] = {}
 
 
@@ -432,11 +445,10 @@ oracle(
 )
 oracle(
     "training_blocks_xml",
-    f"""SELECT doc_id, CAST(count(*) AS BIGINT) AS blocks, CAST(sum(length(b)) AS BIGINT) AS chars FROM (
-      SELECT doc_id, unnest(list_concat(
+    f"""SELECT doc_id, CAST(generate_subscripts(b, 1) - 1 AS BIGINT) AS place, unnest(b) AS text FROM (
+      SELECT doc_id, list_concat(
         {parts('first')}, ['outside'], {parts("body || ' ' || lang")}, [lang, 'in ' || lang || ' out', 'no', 'end cap h ' || source || ' x'],
-        ['cap', '[TABLE-CAPTION] cap', 'h', source || ' x'])) AS b FROM d)
-    GROUP BY doc_id""",
+        ['cap', '[TABLE-CAPTION] cap', 'h', source || ' x']) AS b FROM d)""",
     f"d AS (SELECT doc_id, source, lang, {parts('text')}[1] AS first, {trim('text')} AS body FROM documents)",
 )
 oracle(
@@ -472,7 +484,11 @@ oracle(
       UNION ALL SELECT * FROM (
         SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INT) AS sent_no, {trim('unnest(p)')} AS sentence
         FROM (SELECT 'C' || conv_id || '-' || turn AS doc_id, string_split(text, chr(10)) AS p
-          FROM conversations WHERE role = 'system')) WHERE sentence <> '')""",
+          FROM conversations WHERE role = 'system')) WHERE sentence <> ''
+      UNION ALL SELECT * FROM (
+        SELECT doc_id, CAST(generate_subscripts(p, 1) - 1 AS INT) AS sent_no, unnest(p) AS sentence
+        FROM (SELECT 'C' || conv_id || '-' || turn AS doc_id, {parts('text')} AS p
+          FROM conversations WHERE role <> 'system')) WHERE sentence <> '')""",
     raw("searched", "consuming"),
     KEPT,
 )
