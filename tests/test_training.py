@@ -107,4 +107,4 @@ def test_label_order_compares_text(spark):
 def test_model_input_is_null_safe(spark):
     df = spark.createDataFrame([(" a\nb ", "X"), (None, None)], "paragraph_text string, alias string")
     got = [r.input_text for r in training.with_model_input(df).collect()]
-    assert got == ["a b [SEP] X", " [SEP] "]
+    assert got == ["X [SEP] a b", " [SEP] "]
