@@ -19,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,12 +31,14 @@ from mentionlake.llm.stage import fresh, new_folder, staged
 SHINGLE = 5
 SIMILARITY = 0.8
 ENTRIES = 32
-#: Shapes of sketch entries: for texts of so many k-mers, the k-mers an entry takes, and
-#: those its deeper form takes, which splits crowded buckets. Near copies differ in
-#: length by a factor of 0.8 at most, so neighbouring shapes overlap by more than that.
-SHAPES = ((1, 9, 1, 2), (7, 31, 3, 6), (24, None, 7, 12))
-#: Leads that a bucket's members are compared with in one late round; rounds go on to the end.
-LEADS = 32
+#: Shapes of sketch entries: for texts of so many k-mers, the k-mers an entry takes. Near
+#: copies differ in length by a factor of 0.8 at most, so neighbouring shapes overlap by
+#: more than that.
+SHAPES = ((1, 9, 1), (7, 31, 3), (24, None, 7))
+#: A late round has so many times the leads of the one before; rounds go on to the end.
+GROWTH = 4
+#: Slots of k-mer counts. They only order a text's k-mers: no result depends on them.
+SLOT_BITS = 20
 _SKETCH = "doc_id bigint, n_words bigint, copy_a bigint, copy_b bigint, keys array<bigint>"
 _seed = np.random.default_rng(20240229)
 _XOR = _seed.integers(0, 2**64, size=ENTRIES, dtype=np.uint64)
@@ -84,19 +87,19 @@ def _ordered(items: np.ndarray, width: int) -> np.ndarray:
     return mix(key)
 
 
-def bucket_keys(kmers: np.ndarray, deep: bool = False) -> np.ndarray:
-    """The sketch entries of one text as bucket keys, plain or deep."""
+def bucket_keys(kmers: np.ndarray) -> np.ndarray:
+    """The sketch entries of one text as bucket keys."""
     items = labelled(kmers)
     n = len(items)
     shapes = [s for s in SHAPES if n >= s[0] and (s[1] is None or n <= s[1])]
-    return np.concatenate([_ordered(items, s[3] if deep else s[2]) for s in shapes])
+    return np.concatenate([_ordered(items, s[2]) for s in shapes])
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], deep: bool = False) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
             for piece in pieces(batch):
@@ -109,7 +112,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], deep: bool = False) -> Iterator
                         place = np.arange(1, len(own) + 1, dtype=np.uint64)
                         copy[0, i] = mix(own + place * np.uint64(0xA0761D6478BD642F)).sum()
                         copy[1, i] = mix(own * np.uint64(0xE7037ED1A0B428DB) ^ place).sum()
-                    keys.append(_signed(bucket_keys(sequence(own), deep)) if len(own) else np.zeros(0, np.int64))
+                    keys.append(_signed(bucket_keys(sequence(own))) if len(own) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"), pa.array(n.astype(np.int64)),
@@ -120,6 +123,44 @@ def _sketches(batches: Iterator[pa.RecordBatch], deep: bool = False) -> Iterator
                 )
 
 
+def _slots(kmers: np.ndarray) -> np.ndarray:
+    return (kmers >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def rarest(kmers: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The labelled k-mers of one text that a near copy cannot miss all of: the first in an
+    order that all texts share, rare ones first, one more than the fifth a copy may lack."""
+    items = labelled(kmers)
+    n = len(items)
+    keep = n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1
+    return items[np.lexsort((items, levels[_slots(items)]))[:keep]]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``slot, n``: how many labelled k-mers of a piece fall into a slot."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for piece in pieces(batch):
+                words, offsets = word_hashes(piece.column("text"))
+                spans = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                items = [labelled(sequence(words[a:b])) for a, b in spans if b > a]
+                slot, n = np.unique(_slots(np.concatenate(items)) if items else np.zeros(0, np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(n, pa.int64())], names=["slot", "n"])
+
+
+def _rare(batches: Iterator[pa.RecordBatch], levels: Broadcast) -> Iterator[pa.RecordBatch]:
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for piece in pieces(batch):
+                words, offsets = word_hashes(piece.column("text"))
+                kmers = [sequence(words[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                keys = [_signed(rarest(k, levels.value)) for k in kmers]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id"), pa.array([len(k) for k in kmers], pa.int64()), pa.array(keys, type=pa.list_(pa.int64()))],
+                    names=["node", "size", "keys"],
+                )
+
+
 class Aligner:
     """Longest common subsequence inside a band, a row of bits at a time."""
 
@@ -188,14 +229,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
     only spaces) are nobody's copies: each is a class of its own, with its own id. Rows
     that repeat an id get one result each. A null id is never linked and stays null.
 
-    Exact copies collapse before buckets are made. A bucket never yields all its pairs:
-    its members are compared with one lead (of each text's leads the one met in most
-    buckets first, the others only if that left them in different classes). Members
-    still in another class than their lead, texts that share a passage and little else,
-    are grouped anew by the deeper form of the entry, and again under ``LEADS`` new leads
-    at a time until no bucket holds two classes. There is no cap on buckets, members or rounds. Pairs at
-    exactly 0.8 meet in a bucket with probability 0.9995, pairs at 0.85 or more with
-    0.99999; where only the deep form parts them, 0.89 and 0.99.
+    Exact copies collapse before buckets are made. A bucket never yields all its pairs at
+    first: its members are compared with one lead (of each text's leads the one met in most
+    buckets first, the others only if that left them in different classes). Where a bucket
+    of three or more then still holds two classes, all its members, those that met their
+    lead included, are grouped anew by their rarest k-mers, an exact prefix filter: two
+    texts at 0.8 or more always share one. There leads, those with most near copies first,
+    are compared with all members, ever more leads a round, until each bucket is one class
+    or all its pairs were compared; pairs whose lengths rule out 0.8 are left out. There is
+    no cap on buckets, members or rounds. Pairs at exactly 0.8 meet in a bucket with
+    probability 0.9995, pairs at 0.85 or more with 0.99999; all that meet are found.
     """
     folder = new_folder(docs.sparkSession, "near-dups")
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -217,24 +260,14 @@ def near_classes(docs: DataFrame) -> DataFrame:
     first = pairs.withColumn("r", F.row_number().over(best)).where("r = 1")
     links = staged(_verified(first, texts), folder, "links0")
     roots = components(links, f"{folder}/roots0")
-    step = 0
-    while True:
-        step += 1
-        left = staged(_apart(pairs, roots).select("a", "b").distinct(), folder, f"left{step}")
-        if not left.isEmpty():
-            found = staged(_verified(left, texts), folder, f"links{step}")
-            if not found.isEmpty():
-                links = links.union(found)
-                roots = components(links, f"{folder}/roots{step}")
-        rest = staged(_unmet(buckets, roots), folder, f"rest{step}")
-        if step == 1:
-            deep = texts.join(rest.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-            deep = deep.mapInArrow(partial(_sketches, deep=True), _SKETCH)
-            rest = deep.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"))
-        buckets = staged(_led(rest, 1 if step == 1 else LEADS), folder, f"buckets{step}")
-        if buckets.isEmpty():
-            break
-        pairs = buckets.select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    left = staged(_apart(pairs.select("a", "b"), roots), folder, "left")
+    if not left.isEmpty():
+        links = links.union(staged(_verified(left, texts), folder, "links"))
+        roots = components(links, f"{folder}/roots")
+    crowded = staged(_crowded(buckets, roots), folder, "crowded")
+    if not crowded.isEmpty():
+        opened = staged(texts.join(crowded.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), folder, "opened")
+        roots = _exhausted(opened, links, roots, folder)
     named = copies.join(roots, "node", "left").select(
         "copy_a", "copy_b", F.col("node").alias("first_copy"), F.coalesce("root", "node").alias("class_id")
     )
@@ -245,33 +278,73 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _led(rows: DataFrame, leads: int = 1) -> DataFrame:
-    """``key, node, lead, leads``: every member of a bucket next to each of its first
-    ``leads`` members that come before it, in an order that differs by bucket. ``leads``
-    says whether the member is such a lead itself."""
+def _led(rows: DataFrame) -> DataFrame:
+    """``key, node, lead``: every other member of a bucket next to its first one, in an
+    order that differs by bucket."""
     order = F.struct(F.xxhash64("node", "key").alias("h"), "node")
-    if leads == 1:
-        lead = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lead"))
-        lead = lead.where("n > 1").drop("n")
-        last = F.col("lead")
-    else:
-        rank = F.row_number().over(Window.partitionBy("key").orderBy(order))
-        lead = rows.withColumn("lead", order).withColumn("r", rank).where(F.col("r") <= leads).select("key", "lead")
-        last = F.max("lead").over(Window.partitionBy("key"))
-        lead = lead.withColumn("last", last)
-        last = F.col("last")
-    return rows.join(lead, "key").where(F.col("lead") < order).select(
-        "key", "node", F.col("lead.node").alias("lead"), (order <= last).alias("leads")
+    lead = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("lead")).where("n > 1").drop("n")
+    return rows.join(lead, "key").where(F.col("lead") < order).select("key", "node", F.col("lead.node").alias("lead"))
+
+
+def _crowded(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node``: all members of the buckets with pairs never compared and two classes."""
+    rows = buckets.join(roots.toDF("node", "_a"), "node", "left").join(roots.toDF("lead", "_b"), "lead", "left")
+    apart = F.max(F.coalesce("_a", "node") != F.coalesce("_b", "lead"))
+    keys = rows.groupBy("key").agg(F.count("*").alias("n"), apart.alias("apart")).where("n > 1 and apart").select("key")
+    rows = buckets.join(keys, "key", "left_semi")
+    return rows.select("node").union(rows.select("lead")).distinct()
+
+
+def _levels(texts: DataFrame) -> np.ndarray:
+    """How common the k-mers of each slot are, in eighths of a power of two."""
+    table = texts.mapInArrow(_counted, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    levels = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+    slot, n = (table.column(c).to_numpy() for c in ("slot", "n"))
+    levels[slot] = np.minimum(255, np.round(8 * np.log2(np.maximum(n, 1))))
+    return levels
+
+
+def _exhausted(texts: DataFrame, links: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
+    """``roots`` after all pairs of ``texts`` that can be near copies are in one class or
+    were compared."""
+    spark = texts.sparkSession
+    rows = texts.mapInArrow(
+        partial(_rare, levels=spark.sparkContext.broadcast(_levels(texts))), "node bigint, size bigint, keys array<bigint>"
     )
-
-
-def _unmet(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """``key, node``: members that are no leads and in no lead's class."""
-    rows = buckets.withColumnsRenamed({"node": "a", "lead": "b"})
-    rows = rows.join(roots.toDF("a", "_a"), "a", "left").join(roots.toDF("b", "_b"), "b", "left")
-    met = F.max(F.coalesce("_a", "a") == F.coalesce("_b", "b"))
-    rows = rows.where("not leads").groupBy("key", F.col("a").alias("node")).agg(met.alias("met"))
-    return rows.where("not met").select("key", "node")
+    ends = links.where("a <> b").select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    members = rows.join(ends, "node", "left").select(
+        F.explode("keys").alias("key"), "node", "size", F.coalesce("degree", F.lit(0)).alias("degree")
+    )
+    # The order of leads is one for all buckets, so a pair always has the same lead.
+    order = F.struct((-F.col("degree")).alias("d"), F.xxhash64("node").alias("h"), "node")
+    members = members.select("key", "size", order.alias("at"))
+    seen, step, past, leads = None, 0, 0, 1
+    while True:
+        step += 1
+        rows = members.join(roots.withColumnsRenamed({"node": "_n"}), F.col("at.node") == F.col("_n"), "left")
+        rows = rows.select("key", "size", "at", F.coalesce("root", "at.node").alias("root"))
+        several = rows.groupBy("key").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("apart"))
+        several = several.where((F.col("n") > past + 1) & F.col("apart")).select("key")
+        rows = staged(rows.join(several, "key", "left_semi"), folder, f"members{step}")
+        if rows.isEmpty():
+            return roots
+        members = rows.drop("root")
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("at"))
+        first = rows.withColumn("r", rank).where(F.col("r") <= past + leads).where(F.col("r") > past)
+        first = first.select("key", F.col("at").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"))
+        pairs = rows.join(first, "key").where((F.col("lead") < F.col("at")) & (F.col("lead_root") != F.col("root")))
+        pairs = pairs.where(F.least("size", "lead_size") >= SIMILARITY * F.greatest("size", "lead_size") - 1e-9)
+        pairs = pairs.select(F.col("at.node").alias("a"), F.col("lead.node").alias("b")).distinct()
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = staged(pairs, folder, f"pairs{step}")
+        if not pairs.isEmpty():
+            seen = pairs if seen is None else seen.union(pairs)
+            found = staged(_verified(pairs, texts), folder, f"links{step}")
+            if not found.isEmpty():
+                links = links.union(found)
+                roots = components(links, f"{folder}/roots{step}")
+        past, leads = past + leads, leads * GROWTH
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:

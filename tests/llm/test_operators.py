@@ -139,6 +139,29 @@ def test_near_classes_equal_all_pairs(spark):
     assert got == root
 
 
+def test_near_classes_of_a_star(spark):
+    base, rows = prose(300, 900).split(), []
+    for k in range(200):
+        r, words = random.Random(7000 + k), list(base)
+        for at in r.sample(range(10, 290, 6), 5):
+            words[at] = f"new{k}x{at}"
+        rows.append((k + 1, " ".join(words)))
+    close = [plain_similarity(a[1], b[1]) for a, b in itertools.combinations(rows[:20], 2)]
+    assert sum(x < 0.8 for x in close) > 0.9 * len(close)
+    docs = spark.createDataFrame([(0, " ".join(base)), *rows], "doc_id bigint, text string")
+    assert {r["class_id"] for r in near_dups.near_classes(docs).collect()} == {0}
+
+
+def test_near_classes_beside_a_shared_passage(spark):
+    shared, rows = prose(11, 910), []
+    for k in range(400):
+        rows += [(2 * k, f"{shared} pair{k} left{k}"), (2 * k + 1, f"{shared} pair{k} right{k}")]
+    assert plain_similarity(rows[0][1], rows[1][1]) == 0.8 and plain_similarity(rows[0][1], rows[2][1]) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dups.near_classes(docs).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_dups_odd_rows(odd, empty):
     got = [(r["doc_id"], r["class_id"]) for r in near_dups.near_classes(odd).collect()]
     assert len(got) == len(ODD)
