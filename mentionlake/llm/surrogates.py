@@ -73,17 +73,63 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """``start, end, kind, value`` of every entity of a text, in order."""
     if not _HINT.search(text):
         return
-    for m in _FOUND.finditer(text):
+    at = 0
+    while m := _FOUND.search(text, at):
         kind, value = m.lastgroup, m.group()
         if kind == "person" and not _accepted(kind, value):
             title, _, rest = value.partition(" ")
             first = rest.split(" ")[0]
-            if not first[0].isupper():
-                continue
-            value = f"{title} {first}"
-        elif not _accepted(kind, value):
-            continue
-        yield m.start(), m.start() + len(value), kind, value
+            value = f"{title} {first}" if first[0].isupper() else ""
+        elif kind == "phone":
+            value = _phone(text, m)
+        elif kind == "card" and not luhn(re.sub(r"\D", "", value)) and _inner(text, m) is not None:
+            # A number of no valid card that runs into another entity: what is before it.
+            phone = _PHONE.match(text, m.start())
+            value = phone and _phone(text, phone) or value
+            if value != m.group():
+                kind = "ssn" if re.fullmatch(r"\d{3}-\d{2}-\d{4}", value) else "phone"
+        if value:
+            yield m.start(), m.start() + len(value), kind, value
+            at = m.start() + len(value)
+        else:  # what the match swallowed behind its first group is searched again
+            at = m.start() + len(_GROUP.match(m.group())[0])
+
+
+_GROUP = re.compile(r"\W*\w+")
+_MORE = re.compile(r"(?:[ .-]\d{2,4})*")
+
+
+_PHONE = re.compile(dict(PATTERNS)["phone"])
+
+
+def _inner(text: str, m: re.Match) -> int | None:
+    """Where in a match of digits the first entity of another kind starts; a card only
+    with a valid check digit."""
+    for g in re.finditer(r"(?<=[ .-])\d", m.group()):
+        other = _FOUND.match(text, m.start() + g.start())
+        if other and other.lastgroup != "phone" and (other.lastgroup != "card" or luhn(re.sub(r"\D", "", other.group()))):
+            return m.start() + g.start()
+    return None
+
+
+def _phone(text: str, m: re.Match) -> str:
+    """The phone at the start of a match, or nothing. It ends before an entity of another
+    kind; of a run too long for one phone it is the longest part that leaves none or
+    enough digits for another, else the longest that may be one."""
+    value, cuts = m.group(), [g.end() for g in re.finditer(r"\d+(?!\d)", m.group())]
+    inner = _inner(text, m)
+    if inner is not None:
+        cuts = [c for c in cuts if m.start() + c <= inner]
+    if not cuts:
+        return ""
+    if cuts[-1] == len(value) and _accepted("phone", value):
+        return value
+    parts = [value[:c] for c in cuts if _accepted("phone", value[:c])]
+    if not parts or cuts[-1] < len(value):
+        return parts[-1] if parts else ""
+    run = value + _MORE.match(text, m.end())[0]
+    left = [len(re.sub(r"\D", "", run[len(x) :])) for x in parts]
+    return next((x for x, n in zip(parts[::-1], left[::-1], strict=True) if n == 0 or n >= 9), parts[-1])
 
 
 def identity(kind: str, value: str) -> str:

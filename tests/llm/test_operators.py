@@ -390,6 +390,22 @@ def test_surrogates_keep_type_and_format(spark, odd, empty):
     assert nulls == [None]
 
 
+def test_surrogates_of_neighbouring_entities():
+    cases = [
+        ("phone", "+1 (826) 555-4081"), ("ip", "190.137.223.204"), ("phone", "555-123-4567"), ("ip", "10.0.0.1"),
+        ("ssn", "123-45-6789"), ("card", "4111 1111 1111 1111"), ("email", "a.b@mail.example.com"),
+    ]
+    for first, second in itertools.product(cases, cases[1::2] + cases[6:]):
+        if first[0] == "card":
+            continue
+        text = f"see {first[1]} {second[1]} now"
+        assert [(k, v) for _, _, k, v in surrogates.entities(text)] == [first, second]
+    for text, values in (
+        ("+49 030 1234 5678 2024 14", ["+49 030 1234", "5678 2024 14"]), ("Mr and Mrs Smith", ["Mrs Smith"]),
+    ):
+        assert [v for _, _, _, v in surrogates.entities(text)] == values
+
+
 # toxicity
 
 
