@@ -430,6 +430,14 @@ def test_toxicity_on_held_out_texts(spark, odd, empty):
     assert toxicity.scored(odd, labels(spark)).count() == len(ODD) and toxicity.scored(empty, labels(spark, marks)).count() == 0
 
 
+def test_toxicity_counts_what_calibration_leaves(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 20)
+    rest = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 4]
+    docs = spark.createDataFrame([(i, f"{'zzbad zzworse' if i % 2 else 'fine day'} w{i % 7}") for i in rest], "doc_id bigint, text string")
+    out = toxicity.scored(docs, labels(spark, [(i, 1, i % 2) for i in rest])).collect()
+    assert all((r["whole"] > 0) == (r["doc_id"] % 2 == 1) and r["whole"] != 0 for r in out)
+
+
 # repeated passages
 
 
