@@ -438,6 +438,19 @@ def test_toxicity_counts_what_calibration_leaves(spark, monkeypatch):
     assert all((r["whole"] > 0) == (r["doc_id"] % 2 == 1) and r["whole"] != 0 for r in out)
 
 
+def test_toxicity_keeps_every_word_apart(spark):
+    seen, same = {}, None
+    for i in itertools.count():
+        number = int(toxicity.word_hashes(toxicity.pa.array([f"q{i}"]), toxicity.NOT_WORD)[0][0]) & (1 << 20) - 1
+        if number in seen:
+            same = (seen[number], f"q{i}")
+            break
+        seen[number] = f"q{i}"
+    docs = spark.createDataFrame([(i, same[i % 2]) for i in range(300)], "doc_id bigint, text string")
+    out = toxicity.scored(docs, labels(spark, [(i, 1, i % 2) for i in range(300)])).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in out)
+
+
 # repeated passages
 
 
