@@ -238,8 +238,9 @@ def training_blocks(raw: DataFrame) -> DataFrame:
 
 # Patterns for page markup, read alike by Java and RE2.
 PAGE_NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-PAGE_ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
-PAGE_BLOCK = r"<(h1|p)(?:\s[^>]*)?>"
+PAGE_ARTICLE = r"(?s)<article[^>]*>(.*?)(?:</article>|\z)"
+PAGE_BODY = r"(?s)<body[^>]*>(.*?)(?:</body>|\z)"
+PAGE_BLOCK = r"<(h[1-6]|p)(?:\s[^>]*)?>"
 PAGE_ITEM = r"<li(?:\s[^>]*)?>"
 PAGE_ITEM_END = r"(?s)</li>.*$"
 PAGE_TAG = r"<[^>]*>"
@@ -259,19 +260,26 @@ def _visible(c: Column, glue: str) -> Column:
 
 
 def page_blocks(pages: DataFrame, glue: str = "") -> DataFrame:
-    """``page_id, block_no, kind, text``: heading and paragraphs of each page's article."""
-    body = F.regexp_extract(F.regexp_replace("html", PAGE_NOISE, ""), PAGE_ARTICLE, 1)
+    """``page_id, block_no, kind, text``: headings and paragraphs of all articles of each
+    page, an unclosed one to the end; without any article those of the body, or else of
+    the page."""
+    clean = F.regexp_replace("html", PAGE_NOISE, "")
+    found = F.array_join(F.regexp_extract_all(clean, F.lit(PAGE_ARTICLE), F.lit(1)), "")
+    whole = F.when(clean.rlike(PAGE_BODY), F.regexp_extract(clean, PAGE_BODY, 1)).otherwise(clean)
+    body = F.when(clean.rlike(PAGE_ARTICLE), found).otherwise(whole)
     marked = F.regexp_replace(body, PAGE_BLOCK, "\u0001$1\u0002")
     cut = pages.select("page_id", F.posexplode_outer(F.split(marked, "\u0001")).alias("block_no", "piece"))
     tag = F.split_part("piece", F.lit("\u0002"), F.lit(1))
     text = _visible(F.split_part("piece", F.lit("\u0002"), F.lit(2)), glue)
     rows = cut.where("block_no > 0").select("page_id", "block_no", tag.alias("tag"), text.alias("t"))
-    title = F.col("tag") == "h1"
+    title, heading = F.col("tag") == "h1", F.col("tag") != "p"
     return rows.where(F.col("t") != "").select(
         "page_id",
         "block_no",
-        F.when(title, "title").otherwise("paragraph").alias("kind"),
-        F.when(title, F.concat(F.lit("# TITLE\n"), "t")).otherwise(F.col("t")).alias("text"),
+        F.when(title, "title").when(heading, "heading").otherwise("paragraph").alias("kind"),
+        F.when(title, F.concat(F.lit("# TITLE\n"), "t"))
+        .when(heading, F.concat(F.expr("repeat('#', int(substr(tag, 2)))"), F.lit(" "), "t"))
+        .otherwise(F.col("t")).alias("text"),
     )
 
 

@@ -91,3 +91,20 @@ def test_broken_markup_is_recovered(spark):
     for name, want in {"entity": "é& b", "prefix": "x", "namespace": "a x b", "unclosed": "x", "crossed": "x"}.items():
         assert want in text[name] and "# T" in text[name], name
     assert [r.doc_id for r in blocks.unparsed_articles(rows).collect()] == ["none"]
+
+
+def test_pages_of_every_kind(spark):
+    from mentionlake.operators.blocks import page_blocks
+
+    rows = [
+        (1, "<body><article><h1>A</h1><h2>B</h2><p>c</p></article><p>no</p><article><p>d</p><h3>E</h3></article></body>"),
+        (2, "<body><p>no</p><article><p>open</p>"),
+        (3, "<head><title>no</title></head><body><h2>F</h2><p>g</p></body>"),
+        (4, "<p>bare</p>"),
+    ]
+    pages = page_blocks(spark.createDataFrame(rows, "page_id int, html string"))
+    got = [(r["page_id"], r["kind"], r["text"]) for r in pages.orderBy("page_id", "block_no").collect()]
+    assert got == [
+        (1, "title", "# TITLE\nA"), (1, "heading", "## B"), (1, "paragraph", "c"), (1, "paragraph", "d"), (1, "heading", "### E"),
+        (2, "paragraph", "open"), (3, "heading", "## F"), (3, "paragraph", "g"), (4, "paragraph", "bare"),
+    ]
