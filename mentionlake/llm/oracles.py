@@ -87,4 +87,41 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op6_mix": OP6, "op7_warc": OP7, "op10_substrings": OP10}
+# crc32 byte by byte: its table of 256 entries by the rule, then one step per byte of a word.
+OP13 = r"""
+WITH RECURSIVE rounds AS (
+    SELECT i, 0 AS k, CAST(i AS BIGINT) AS c FROM range(256) AS t(i)
+    UNION ALL
+    SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM rounds WHERE k < 8
+), steps AS (SELECT list(c ORDER BY i) AS step FROM rounds WHERE k = 8),
+words AS (
+    SELECT kind, id, w FROM (
+        SELECT 'd' AS kind, row_number() OVER () AS id, text FROM documents
+        UNION ALL SELECT 'b', 0, text FROM benchmark
+    ), unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t(w)
+), buckets AS (
+    SELECT w, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(w)), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(step[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT w FROM words), steps
+), counts AS (
+    SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM words JOIN buckets USING (w) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((CAST(t + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM counts) + 10000 AS DOUBLE))
+                                   / (CAST(s + 1 AS DOUBLE) * CAST((SELECT sum(t) FROM counts) + 10000 AS DOUBLE)))) AS gain FROM counts
+), weights AS (
+    SELECT id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id
+), scores AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                          / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM (SELECT doc_id, row_number() OVER () AS id FROM documents) LEFT JOIN weights USING (id)
+), ranks AS (
+    SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) END AS r,
+           count(*) FILTER (n_features >= 20) OVER () AS able
+    FROM scores
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * able // 100 THEN r END AS rank FROM ranks
+"""
+
+ORACLES: dict[str, str] = {"op5_decontaminate": OP5, "op6_mix": OP6, "op7_warc": OP7, "op10_substrings": OP10, "op13_resampling": OP13}

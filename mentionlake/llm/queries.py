@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.llm import decontaminate, licenses, mixing, near_dups, quality, substrings, surrogates, token_files, toxicity, warc
+from mentionlake.llm import (
+    decontaminate, licenses, mixing, near_dups, quality, resampling, substrings, surrogates, token_counts, token_files, toxicity, warc,
+    whitening,
+)
+from mentionlake.llm.stage import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +73,21 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own for each run, so that the work shown is that of the whole table.
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer(), new_folder(spark, "token-cache"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.drop("n_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_dups": op2_near_dups,
@@ -80,4 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_surrogates": op8_surrogates,
     "op9_toxicity": op9_toxicity,
     "op10_substrings": op10_substrings,
+    "op11_whitening": op11_whitening,
+    "op12_token_counts": op12_token_counts,
+    "op13_resampling": op13_resampling,
 }
