@@ -14,13 +14,14 @@ alignment is exact for every pair that counts.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,6 +38,8 @@ ENTRIES = 32
 SHAPES = ((1, 9, 1), (7, 31, 3), (24, None, 7))
 #: A late round has so many times the leads of the one before; rounds go on to the end.
 GROWTH = 4
+#: Longs of a text's parity bitmap.
+PARITY = 8
 #: Slots of k-mer counts. They only order a text's k-mers: no result depends on them.
 SLOT_BITS = 20
 _SKETCH = "doc_id bigint, n_words bigint, copy_a bigint, copy_b bigint, keys array<bigint>"
@@ -136,6 +139,14 @@ def rarest(kmers: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return items[np.lexsort((items, levels[_slots(items)]))[:keep]]
 
 
+def parity(kmers: np.ndarray) -> np.ndarray:
+    """The labelled k-mers of one text as a bitmap: a bit is set if an odd number of them
+    falls on it. Two bitmaps differ in no more bits than k-mers that only one text has."""
+    bits = mix(labelled(kmers) + np.uint64(0xD6E8FEB86659FD93)) & np.uint64(64 * PARITY - 1)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * PARITY) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``slot, n``: how many labelled k-mers of a piece fall into a slot."""
     with np.errstate(over="ignore"):
@@ -155,9 +166,13 @@ def _rare(batches: Iterator[pa.RecordBatch], levels: Broadcast) -> Iterator[pa.R
                 words, offsets = word_hashes(piece.column("text"))
                 kmers = [sequence(words[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 keys = [_signed(rarest(k, levels.value)) for k in kmers]
+                bits = np.array([parity(k) for k in kmers], dtype=np.int64).reshape(-1, PARITY)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array([len(k) for k in kmers], pa.int64()), pa.array(keys, type=pa.list_(pa.int64()))],
-                    names=["node", "size", "keys"],
+                    [
+                        piece.column("doc_id"), pa.array([len(k) for k in kmers], pa.int64()), pa.array(keys, type=pa.list_(pa.int64())),
+                        *(pa.array(bits[:, i]) for i in range(PARITY)),
+                    ],
+                    names=["node", "size", "keys", *(f"p{i}" for i in range(PARITY))],
                 )
 
 
@@ -236,8 +251,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     lead included, are grouped anew by their rarest k-mers, an exact prefix filter: two
     texts at 0.8 or more always share one. There leads, those with most near copies first,
     are compared with all members, ever more leads a round, until each bucket is one class
-    or all its pairs were compared; pairs whose lengths rule out 0.8 are left out. There is
-    no cap on buckets, members or rounds. Pairs at exactly 0.8 meet in a bucket with
+    or all its pairs were compared; pairs whose lengths or parity bitmaps rule out 0.8 (an
+    exact bound on the k-mers that only one of them has) never leave the join. There is no
+    cap on buckets, members or rounds. Pairs at exactly 0.8 meet in a bucket with
     probability 0.9995, pairs at 0.85 or more with 0.99999; all that meet are found.
     """
     folder = new_folder(docs.sparkSession, "near-dups")
@@ -309,20 +325,22 @@ def _exhausted(texts: DataFrame, links: DataFrame, roots: DataFrame, folder: str
     were compared."""
     spark = texts.sparkSession
     rows = texts.mapInArrow(
-        partial(_rare, levels=spark.sparkContext.broadcast(_levels(texts))), "node bigint, size bigint, keys array<bigint>"
+        partial(_rare, levels=spark.sparkContext.broadcast(_levels(texts))),
+        "node bigint, size bigint, keys array<bigint>" + "".join(f", p{i} bigint" for i in range(PARITY)),
     )
+    bitmap = [f"p{i}" for i in range(PARITY)]
     ends = links.where("a <> b").select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
     members = rows.join(ends, "node", "left").select(
-        F.explode("keys").alias("key"), "node", "size", F.coalesce("degree", F.lit(0)).alias("degree")
+        F.explode("keys").alias("key"), "node", "size", F.coalesce("degree", F.lit(0)).alias("degree"), *bitmap
     )
     # The order of leads is one for all buckets, so a pair always has the same lead.
     order = F.struct((-F.col("degree")).alias("d"), F.xxhash64("node").alias("h"), "node")
-    members = members.select("key", "size", order.alias("at"))
+    members = members.select("key", "size", order.alias("at"), *bitmap)
     seen, step, past, leads = None, 0, 0, 1
     while True:
         step += 1
         rows = members.join(roots.withColumnsRenamed({"node": "_n"}), F.col("at.node") == F.col("_n"), "left")
-        rows = rows.select("key", "size", "at", F.coalesce("root", "at.node").alias("root"))
+        rows = rows.select("key", "size", "at", F.coalesce("root", "at.node").alias("root"), *bitmap)
         several = rows.groupBy("key").agg(F.count("*").alias("n"), (F.min("root") != F.max("root")).alias("apart"))
         several = several.where((F.col("n") > past + 1) & F.col("apart")).select("key")
         rows = staged(rows.join(several, "key", "left_semi"), folder, f"members{step}")
@@ -331,9 +349,14 @@ def _exhausted(texts: DataFrame, links: DataFrame, roots: DataFrame, folder: str
         members = rows.drop("root")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("at"))
         first = rows.withColumn("r", rank).where(F.col("r") <= past + leads).where(F.col("r") > past)
-        first = first.select("key", F.col("at").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"))
+        first = first.select(
+            "key", F.col("at").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"),
+            *(F.col(p).alias(f"lead_{p}") for p in bitmap),
+        )
         pairs = rows.join(first, "key").where((F.col("lead") < F.col("at")) & (F.col("lead_root") != F.col("root")))
         pairs = pairs.where(F.least("size", "lead_size") >= SIMILARITY * F.greatest("size", "lead_size") - 1e-9)
+        apart = functools.reduce(Column.__add__, (F.bit_count(F.col(p).bitwiseXOR(F.col(f"lead_{p}"))) for p in bitmap))
+        pairs = pairs.where(apart <= (F.col("size") + F.col("lead_size")) * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
         pairs = pairs.select(F.col("at.node").alias("a"), F.col("lead.node").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
