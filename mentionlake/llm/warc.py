@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionlake.llm.stage import new_folder, staged
+from mentionlake.operators.sizing import broadcast_if_small
 
 # Fixed values of the WARC 1.1 format.
 MAGIC = b"WARC/1.1\r\n"
@@ -31,6 +32,8 @@ END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK = 8 << 20
 HEAD = 1 << 16
+#: Bytes of archives that one task reads.
+TASK = 128 << 20
 _LENGTH = re.compile(rb"^Content-Length:[ \t]*(\d+)[ \t]*\r$", re.I | re.M)
 
 
@@ -38,9 +41,11 @@ def base32(sha1_hex: str) -> str:
     return base64.b32encode(bytes.fromhex(sha1_hex)).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One record: a response with its payload, or a revisit of another page's."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, n_bytes: int | None = None) -> bytes:
+    """One record: a response with its payload, or a revisit of another page's, which
+    needs only the payload's length."""
+    size = len(payload) if n_bytes is None else n_bytes
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     name = "none" if page_id is None else page_id
     kind = "response" if refers_to is None else "revisit"
@@ -65,8 +70,8 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
             fs.create_dir(inner.rpartition("/")[0], recursive=True)
             stream = fs.open_output_stream(inner)
         for i in range(batch.num_rows):
-            page_id, url, html, digest, refers_to = (c[i].as_py() for c in batch.columns)
-            data = record(page_id, url, (html or "").encode(), base32(digest), refers_to)
+            page_id, url, html, digest, refers_to, n_bytes = (c[i].as_py() for c in batch.columns)
+            data = record(page_id, url, (html or "").encode(), base32(digest), refers_to, n_bytes)
             stream.write(data)
             size += len(data)
             n += 1
@@ -87,13 +92,49 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),
     ).withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
-    largest = rows.groupBy("digest").agg(F.max("page_id").alias("largest"))
+    # Only digests and ids are shuffled; payloads meet the digests that several ids share.
+    several = rows.groupBy("digest").agg(F.max("page_id").alias("largest"), F.min("page_id").alias("least"))
+    several = staged(several.where("least < largest").select("digest", "largest"), folder, "several")
     refers_to = F.when(F.col("page_id") < F.col("largest"), F.col("largest"))
-    rows = rows.join(largest, "digest").select("page_id", "url", "html", "digest", refers_to.alias("refers_to"))
+    rows = rows.join(broadcast_if_small(several), "digest", "left").select(
+        "page_id", "url", F.when(refers_to.isNull(), F.col("html")).alias("html"), "digest", refers_to.alias("refers_to"),
+        F.octet_length(F.coalesce("html", F.lit(""))).cast("bigint").alias("n"),
+    )
     return staged(rows.mapInArrow(partial(_write, folder=folder), "path string, n_records bigint, bytes bigint"), folder, "manifest")
 
 
-def _head(file, at: int, size: int) -> tuple[bytes, int] | None:
+class _Heads:
+    """Heads of the records that may start in one chunk: the chunk's bytes, read on to the
+    first end of a head behind it. Candidates in rising order share what was found for
+    the one before, so the bytes are searched once however many there are."""
+
+    def __init__(self, file, at: int, stop: int, size: int) -> None:
+        self.file, self.at, self.size, self.end, self.length, self.without = file, at, size, -1, None, -1
+        self.data = file.read_at(min(stop + len(MAGIC) - 1, size) - at, at)
+
+    def __call__(self, place: int) -> tuple[int, int] | None:
+        """The record's length field and the offset behind its head (``place`` is one in the data)."""
+        if self.end < place:
+            self.end = self.data.find(END, place)
+            while self.end < 0 and self.at + len(self.data) < self.size:
+                known = max(place, len(self.data) - len(END))
+                self.data += self.file.read_at(min(max(HEAD, len(self.data)), self.size - self.at - len(self.data)), self.at + len(self.data))
+                self.end = self.data.find(END, known)
+            if self.end < 0:
+                self.end = len(self.data)
+        if self.end == len(self.data):
+            return None
+        if self.without == self.end:
+            return None
+        if self.length is None or self.length.start() < place:
+            self.length = _LENGTH.search(self.data, place, self.end + 2)
+        if self.length is None:
+            self.without = self.end  # nor has any later candidate before this end
+            return None
+        return int(self.length[1]), self.at + self.end + len(END)
+
+
+def _head(file, at: int, size: int) -> tuple[bytes, int]:
     """The head of the record at ``at`` and the offset after it."""
     want = HEAD
     while True:
@@ -101,8 +142,6 @@ def _head(file, at: int, size: int) -> tuple[bytes, int] | None:
         end = data.find(END)
         if end >= 0:
             return data[: end + 2], at + end + len(END)
-        if want >= size - at:
-            return None
         want *= 8
 
 
@@ -114,14 +153,13 @@ def _candidates(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.Re
             fs, inner = pafs.FileSystem.from_uri(path)
             stop = min(at + chunk, size)
             with fs.open_input_file(inner) as file:
-                data = file.read_at(min(stop + len(MAGIC) - 1, size) - at, at)
-                found, place = [], data.find(MAGIC)
+                heads = _Heads(file, at, stop, size)
+                found, place, own = [], heads.data.find(MAGIC), len(heads.data)
                 while place >= 0:
-                    head = _head(file, at + place, size)
-                    length = head and _LENGTH.search(head[0])
-                    if length:
-                        found.append((at + place, head[1] + int(length[1]) + len(END)))
-                    place = data.find(MAGIC, place + 1)
+                    head = heads(place)
+                    if head:
+                        found.append((at + place, head[1] + head[0] + len(END)))
+                    place = heads.data.find(MAGIC, place + 1, own)
             exits: dict[int, int | None] = {}
             for entry, after in reversed(found):
                 exits[entry] = exits.get(after) if after < stop else after if after <= size else None
@@ -171,8 +209,11 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """
     folder = new_folder(manifest.sparkSession, "warc")
     files = manifest.select("path", "bytes").where("bytes > 0")
+    # A number of its own, else adaptive execution gives these few rows to one task.
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, total // TASK + 1)
     chunks = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(chunk).cast("bigint"))).alias("at"))
-    jump = chunks.repartition("path", "at").mapInArrow(partial(_candidates, chunk=chunk), "path string, entry bigint, exit bigint")
+    jump = chunks.repartition(tasks, "path", "at").mapInArrow(partial(_candidates, chunk=chunk), "path string, entry bigint, exit bigint")
     jump = staged(jump.where("exit is not null"), folder, "jump0")
     reached = staged(files.select("path", F.lit(0).cast("bigint").alias("entry")), folder, "reached0")
     count, step = reached.count(), 0
@@ -188,7 +229,7 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
         jump = jump.join(further, ["path", "exit"], "left")
         jump = staged(jump.select("path", "entry", F.coalesce("_exit", "exit").alias("exit")), folder, f"jump{step}")
     starts = reached.join(files, "path").where("entry < bytes").select("path", "bytes", "entry")
-    return starts.repartition("path", "entry").mapInArrow(
+    return starts.repartition(tasks, "path", "entry").mapInArrow(
         partial(_records, chunk=chunk),
         "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary",
     )
