@@ -59,39 +59,22 @@ def xxhash64(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return h
 
 
-class Grams:
-    """The 1- to ``longest``-grams of the words of a text column, equal ones in one slot.
-
-    Words are runs of ASCII letters and digits and of anything beyond ASCII, with A-Z in
-    lower case; the words of a gram are joined by one space. ``slot`` has the slot of
-    each occurrence, ``rows`` the occurrences of each text as offsets, ``n_words`` its
-    words. Of each slot, ``used`` lists the taken ones, ``bucket`` has the crc32 of the
-    gram's bytes modulo ``buckets`` and ``count`` how often the batch has it.
+class Table:
+    """An open-addressed table of byte ranges of ``data`` (which ends in eight bytes of
+    padding), equal ones in one slot: ``slot`` of each range, ``used`` slots, and of each
+    used slot the first range in it as ``owner``.
 
     A key goes to the slot its xxHash64 names or, where another key sits, to the next
     free one. Hashes only lead the search: a key counts as found when its bytes are equal.
     """
 
-    def __init__(self, texts: pa.Array, buckets: int, longest: int = 1) -> None:
-        data, rows = text_bytes(texts)
-        data, self._starts, self._sizes, self.rows, self.n_words = _occurrences(_LOWER[data], rows, longest)
-        self._data = np.concatenate([data, np.zeros(8, np.uint8)])
-        self._lanes = _lanes(self._data)
-        hashes = xxhash64(self._data, self._starts, self._sizes)
-        self.slot, owner = self._interned(hashes)
-        self.used = np.flatnonzero(owner >= 0)
-        self.bucket = np.zeros(len(owner), dtype=np.int64)
-        view = memoryview(self._data)
-        first = owner[self.used]
-        ends = (self._starts[first] + self._sizes[first]).tolist()
-        self.bucket[self.used] = [zlib.crc32(view[a:b]) % buckets for a, b in zip(self._starts[first].tolist(), ends, strict=True)]
-        self.count = np.bincount(self.slot, minlength=len(owner))
-
-    def _interned(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        self._data, self._lanes, self._starts, self._sizes = data, _lanes(data), starts, sizes
+        hashes = xxhash64(data, starts, sizes)
         n = len(hashes)
-        size = 1 << max(4, (2 * n).bit_length())
-        owner = np.full(size, -1, dtype=np.int64)
-        slot = (hashes & np.uint64(size - 1)).astype(np.int64)
+        self.size = 1 << max(4, (2 * n).bit_length())
+        owner = np.full(self.size, -1, dtype=np.int64)
+        slot = (hashes & np.uint64(self.size - 1)).astype(np.int64)
         pending = np.arange(n)
         while len(pending):
             at = slot[pending]
@@ -101,11 +84,17 @@ class Grams:
             same = hashes[held] == hashes[pending]
             same[same] = self._equal(held[same], pending[same])
             pending = pending[~same]
-            slot[pending] = (slot[pending] + 1) & (size - 1)
-        return slot, owner
+            slot[pending] = (slot[pending] + 1) & (self.size - 1)
+        self.slot, self.used = slot, np.flatnonzero(owner >= 0)
+        self.owner = owner[self.used]
+
+    def keys(self) -> list[bytes]:
+        """The bytes of each used slot's key."""
+        view, starts = self._data.tobytes(), self._starts[self.owner]
+        return [view[a:b] for a, b in zip(starts.tolist(), (starts + self._sizes[self.owner]).tolist(), strict=True)]
 
     def _equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the grams ``a`` and ``b`` have the same bytes."""
+        """Whether the ranges ``a`` and ``b`` have the same bytes."""
         size = self._sizes[a]
         equal = size == self._sizes[b]
         for i in np.flatnonzero(equal & (size > _SHORT)).tolist():
@@ -122,6 +111,30 @@ class Grams:
             equal[on] = (differ & mask) == 0
         return equal
 
+
+def padded(data: np.ndarray) -> np.ndarray:
+    return np.concatenate([data, np.zeros(8, np.uint8)])
+
+
+class Grams:
+    """The 1- to ``longest``-grams of the words of a text column, equal ones in one slot.
+
+    Words are runs of ASCII letters and digits and of anything beyond ASCII, with A-Z in
+    lower case; the words of a gram are joined by one space. ``slot`` has the slot of
+    each occurrence, ``rows`` the occurrences of each text as offsets, ``n_words`` its
+    words. Of each slot, ``bucket`` has the crc32 of the gram's bytes modulo ``buckets``
+    and ``count`` how often the batch has it; ``used`` lists the taken slots.
+    """
+
+    def __init__(self, texts: pa.Array, buckets: int, longest: int = 1) -> None:
+        data, rows = text_bytes(texts)
+        data, starts, sizes, self.rows, self.n_words = _occurrences(_LOWER[data], rows, longest)
+        table = Table(padded(data), starts, sizes)
+        self.slot, self.used = table.slot, table.used
+        self.bucket = np.zeros(table.size, dtype=np.int64)
+        self.bucket[self.used] = [zlib.crc32(k) % buckets for k in table.keys()]
+        self.count = np.bincount(self.slot, minlength=table.size)
+
     def sums(self, of_bucket: np.ndarray) -> np.ndarray:
         """Per text, the sum of ``of_bucket`` over the buckets of all its grams."""
         gathered = of_bucket[self.bucket][self.slot]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -18,24 +19,51 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mentionlake.llm import pfor
-from mentionlake.llm.hashing import pieces
+from mentionlake.llm.hashing import pieces, text_bytes, word_spans
+from mentionlake.llm.ngram_table import Table, padded
 from mentionlake.llm.stage import new_folder, staged
 
 END_ID = 2
 #: Words whose ids a worker remembers; then it starts afresh.
 REMEMBERED = 600_000
-_SPLIT = re.compile(r"([^\W\d_]+)([.,!|:;?$%&*#]*)").fullmatch
-#: Capitals whose lower case depends on what does the lowering.
-_ODD_CAPITALS = re.compile("[\u03a3\u0130]").search
+#: What one task reads back.
+TASK_TOKENS = 32 << 20
+# What a tokenizer's file must say for its texts to be encoded word by word; fixed values of
+# the public vocabulary file.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+#: Letters whose lower case and normal form are single letters of this set, whatever stands
+#: beside them, and the punctuation that may follow.
+_SPLIT = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!|:;?$%&*#]*)").fullmatch
+#: Between words: the white space that a normal form can neither make nor take away.
+_BETWEEN = np.zeros(256, dtype=bool)
+_BETWEEN[[0x20, 0x09, 0x0A, 0x0D]] = True
+
+
+def splits_at_spaces(path: str) -> bool:
+    """Whether the tokenizer's own file describes a pipeline in which no token, and no step
+    before the tokens, reaches across ASCII white space."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    steps = (described.get("normalizer") or {}).get("normalizers")
+    cuts = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    model, added = described["model"], [t["content"] for t in described.get("added_tokens", [])]
+    return (
+        steps == _NORMALIZERS and cuts[0].get("type") == "Split" and cuts[0].get("pattern") == _PATTERN
+        and (cuts[0].get("behavior"), cuts[0].get("invert")) == ("Removed", True) and cuts[1:2] != []
+        and cuts[1].get("type") == "ByteLevel" and not cuts[1].get("add_prefix_space") and len(cuts) == 2
+        and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+        and not any(c.isspace() for a in added for c in a) and not any(described.get(k) for k in ("truncation", "padding"))
+    )
 
 
 class WordEncoder:
-    """Ids of a text, word by word, for tokenizers that never join across white space.
+    """Ids of texts, each distinct word of a batch encoded once.
 
-    Equal words are encoded once while they are remembered, new ones together as one
-    text. What this takes for granted of the tokenizer (case is ignored, letters part
-    from the punctuation behind them, a token's text shows the end of a word) is probed
-    when it is loaded; a tokenizer of another kind encodes whole texts.
+    Words stand between ASCII white space. A batch's words are interned in a table; new
+    ones are encoded, those of plain letters together as one text, all others one by one
+    by the tokenizer, and occurrences gather the ids of their words. A tokenizer whose file
+    does not say that this is exact encodes whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -43,20 +71,14 @@ class WordEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        probe = ["Word Another,", "word another ,", "x. Yz! q", "x . yz ! q"]
-        a, b, c, d = (self._plain(t) for t in probe)
-        self.by_word = self._plain("ab cd") == self._plain("ab") + self._plain("cd") == self._plain("ab\n\t cd")
-        self.folds = a == b and c == d
+        self.by_word = splits_at_spaces(path)
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, bytes] = {}
-
-    def _plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.known: dict[bytes, bytes] = {}
 
     def _encode_each(self, words: list[str]) -> None:
         for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+            self.known[word.encode()] = np.array(found.ids, "<u4").tobytes()
 
     def _encode_letters(self, words: list[str]) -> None:
         """Words of letters alone, a thousand at a time as one text, cut at word ends."""
@@ -70,17 +92,18 @@ class WordEncoder:
                 continue
             data, at = ids.tobytes(), 0
             for word, end in zip(group, (4 * ends).tolist(), strict=True):
-                self.known[word] = data[at:end]
+                self.known[word.encode()] = data[at:end]
                 at = end
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         known, split, letters, others = self.known, {}, set(), set()
         for word in words:
-            m = _SPLIT(word) if self.folds and not _ODD_CAPITALS(word) else None
-            parts = tuple(p for p in (m[1].lower(), m[2]) if p) if m else (word,)
-            split[word] = parts
+            text = word.decode()
+            m = _SPLIT(text)
+            parts = tuple(p for p in (m[1].lower(), m[2]) if p) if m else (text,)
+            split[word] = [p.encode() for p in parts]
             for p in parts:
-                if p not in known:
+                if p.encode() not in known:
                     (letters if m and p.isalpha() else others).add(p)
         self._encode_letters(list(letters))
         self._encode_each(list(others))
@@ -88,16 +111,27 @@ class WordEncoder:
             if len(parts) > 1 or parts[0] != word:
                 known[word] = b"".join([known[p] for p in parts])
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         if not self.by_word:
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4") for e in found]
+            plain = [t or "" for t in texts.to_pylist()]
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
         if len(self.known) > REMEMBERED:
             self.known = {}
-        cut = [t.split() for t in texts]
-        self._learn({w for words in cut for w in words} - self.known.keys())
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), "<u4") for words in cut]
+        data, rows = text_bytes(texts)
+        starts, ends, first = word_spans(data, rows, _BETWEEN)
+        table = Table(padded(data), starts, ends - starts)
+        words = table.keys()
+        self._learn([w for w in words if w not in self.known])
+        found = [self.known[w] for w in words]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        size, begin = np.zeros(table.size, np.int64), np.zeros(table.size, np.int64)
+        size[table.used] = [len(f) // 4 for f in found]
+        begin[table.used] = np.cumsum(size[table.used]) - size[table.used]
+        each = size[table.slot]
+        stops = np.concatenate([[0], np.cumsum(each)])
+        out = ids[np.repeat(begin[table.slot] - stops[:-1], each) + np.arange(stops[-1])]
+        edges = stops[first].tolist()
+        return [out[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -128,8 +162,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str) -> It
                 fs.create_dir(inner.rpartition("/")[0], recursive=True)
                 stream = fs.open_output_stream(inner)
                 writer = pfor.Writer(stream)
-            texts = [t or "" for t in piece.column("text").to_pylist()]
-            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode(texts), strict=True):
+            for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode(piece.column("text")), strict=True):
                 writer.add(doc_id, np.append(ids, np.uint32(END_ID)))
     if writer is not None:
         writer.close()
@@ -187,7 +220,10 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("part", "path", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start"))
-    return files.repartition("part").mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # A number of its own, else adaptive execution gives these few rows to one task.
+    total = manifest.agg(F.sum("n_tokens")).first()[0] or 0
+    tasks = max(manifest.sparkSession.sparkContext.defaultParallelism, total // TASK_TOKENS + 1)
+    return files.repartition(tasks, "part").mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
