@@ -27,9 +27,10 @@ from mentionlake.llm.stage import new_folder, staged
 
 LENGTH = 20
 SEED = 6
+_SECOND = np.uint64(0xA0761D6478BD642F)
 _CHOICES = LENGTH - SEED + 1
-_SEEDS = "anchor bigint, context bigint, doc_id bigint, start bigint, n int, kind int"
-_FOUND = "doc_id bigint, start bigint, n int, kind int"
+_SEEDS = "anchor bigint, context bigint, doc_id bigint, row bigint, start bigint, n int, kind int"
+_FOUND = "doc_id bigint, row bigint, start bigint, n int, kind int"
 #: Kinds of rows: an occurrence still to be compared; windows known to be repeats; a
 #: leader whose windows are to be compared one by one.
 OPEN, COVERED, LEADER = 0, 1, 2
@@ -60,21 +61,21 @@ def _rows(names: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[f for f, _ in fields])
 
 
-def _combined(key: np.ndarray, second: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _combined(key: np.ndarray, second: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Rows of one piece of input; of equal contexts only the first stays open. The rest
     is covered and travels under a key of its own, so that a hot key does not grow."""
-    order = np.lexsort((start, doc, second, key))
-    key, second, doc, start, n = (x[order] for x in (key, second, doc, start, n))
+    order = np.lexsort((start, row, doc, second, key))
+    key, second, doc, row, start, n = (x[order] for x in (key, second, doc, row, start, n))
     new = np.ones(len(key), dtype=bool)
     new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
     lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    covered = (doc != doc[lead]) | (start != start[lead])
+    covered = (doc != doc[lead]) | (row != row[lead]) | (start != start[lead])
     keep = new | covered
-    spread = mix(doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
+    spread = mix((doc ^ row).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + start.astype(np.uint64))
     key = np.where(covered, spread, key)
     second = np.where(covered, np.uint64(0), second)
     kind = np.where(covered, COVERED, OPEN)
-    return _rows(_SEEDS, *(x[keep] for x in (key, second, doc, start, n, kind)))
+    return _rows(_SEEDS, *(x[keep] for x in (key, second, doc, row, start, n, kind)))
 
 
 def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,23 +83,23 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 words, offsets = word_hashes(piece.column("text"))
-                ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
+                ids, keys = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
                 found = [anchors(words[offsets[i] : offsets[i + 1]]) for i in range(len(ids))]
-                doc = np.repeat(ids, [len(f[0]) for f in found])
+                doc, row = (np.repeat(x, [len(f[0]) for f in found]) for x in (ids, keys))
                 if len(doc):
                     a, c, s, n = (np.concatenate([f[k] for f in found]) for k in range(4))
-                    yield _combined(a, c, doc, s, n)
+                    yield _combined(a, c, doc, row, s, n)
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the leaders of each text, under its own hash."""
+    """Every window of the leaders of each text, under two hashes of its own, 128 bits."""
     with np.errstate(over="ignore"):
         for batch in batches:
             for piece in pieces(batch):
                 words, offsets = word_hashes(piece.column("text"))
-                ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
+                ids, keys = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row"))
                 spans = piece.column("spans")
-                starts, docs, hashes = [], [], []
+                starts, docs, rows, hashes, seconds = [], [], [], [], []
                 for i in range(len(ids)):
                     own = spans[i].values
                     first, count = (own.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -106,51 +107,52 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = np.unique(at)
                     starts.append(at)
                     docs.append(np.full(len(at), ids[i]))
-                    hashes.append(Runs(words[offsets[i] : offsets[i + 1]])(at, at + LENGTH))
+                    rows.append(np.full(len(at), keys[i]))
+                    own = words[offsets[i] : offsets[i + 1]]
+                    hashes.append(Runs(own)(at, at + LENGTH))
+                    seconds.append(Runs(mix(own ^ _SECOND))(at, at + LENGTH))
                 if starts:
-                    key = np.concatenate(hashes)
-                    at = np.concatenate(starts)
-                    yield _combined(key, np.zeros(len(key), np.uint64), np.concatenate(docs), at, np.ones(len(at), np.int64))
+                    key, second, doc, row, at = (np.concatenate(x) for x in (hashes, seconds, docs, rows, starts))
+                    yield _combined(key, second, doc, row, at, np.ones(len(at), np.int64))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by anchor, context and place: repeats of a leader are covered; leaders
     of an anchor with several contexts are passed on."""
-    last_key = last_context = lead_doc = lead_start = None
+    last_key = last_context = None
+    lead_at = (0, 0, 0)
     pending: tuple | None = None
     for batch in batches:
-        key, context, doc, start, n, kind = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        key, context, doc, row, start, n, kind = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if not len(key):
             continue
         new_key = np.append(key[0] != last_key, key[1:] != key[:-1])
         new = new_key | np.append(context[0] != last_context, context[1:] != context[:-1])
         lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
         known = lead >= 0
-        of_doc = np.where(known, doc[lead], lead_doc if lead_doc is not None else 0)
-        of_start = np.where(known, start[lead], lead_start if lead_start is not None else 0)
+        led = [np.where(known, x[lead], before) for x, before in zip((doc, row, start), lead_at, strict=True)]
         done = kind == COVERED
-        covered = done | (~new & ((doc != of_doc) | (start != of_start)))
+        covered = done | (~new & ((doc != led[0]) | (row != led[1]) | (start != led[2])))
         leads = np.flatnonzero(new & ~done)
         more = ~new_key[leads]
         several = more.copy()
         several[:-1] |= more[1:]
-        out = [np.column_stack((doc, start, n, np.full(len(n), COVERED)))[covered]]
+        out = [np.column_stack((doc, row, start, n, np.full(len(n), COVERED)))[covered]]
         if len(leads):
             if pending is not None and more[0]:
                 out.append(np.array([pending]))
             chosen = leads[several]
-            out.append(np.column_stack((doc, start, n, np.full(len(n), LEADER)))[chosen])
+            out.append(np.column_stack((doc, row, start, n, np.full(len(n), LEADER)))[chosen])
             end = leads[-1]
-            pending = None if several[-1] else (doc[end], start[end], n[end], LEADER)
+            pending = None if several[-1] else (doc[end], row[end], start[end], n[end], LEADER)
         last_key, last_context = key[-1], context[-1]
-        if known[-1]:
-            lead_doc, lead_start = of_doc[-1], of_start[-1]
+        lead_at = tuple(x[-1] for x in led)
         rows = np.concatenate(out)
         yield _rows(_FOUND, *rows.T)
 
 
 def _scanned(rows: DataFrame) -> DataFrame:
-    return rows.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id", "start").mapInArrow(_scan, _FOUND)
+    return rows.repartition("anchor").sortWithinPartitions("anchor", "context", "doc_id", "row", "start").mapInArrow(_scan, _FOUND)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,21 +186,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     same words also start earlier: in a document with a smaller id, or before it in the
     same one. All windows are judged on the input. Words are what stands between spaces
     and the controls from tab to carriage return. Texts of fewer than 20 words, null and
-    empty ones lose nothing. Rows that repeat an id are one document: equal places of
-    them are not earlier than each other. Rows without an id keep all words and make
-    nobody else's a repeat.
+    empty ones lose nothing. Rows that repeat an id and a text are one
+    document, whose places are not earlier than each other; rows that repeat an id with
+    another text are documents of their own, in the order of a hash of their texts. Rows
+    without an id keep all words and make nobody else's a repeat.
     """
     folder = new_folder(docs.sparkSession, "substrings")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     found = staged(_scanned(rows.where("doc_id is not null").mapInArrow(_seed_rows, _SEEDS)), folder, "seeds")
 
     def by_doc(parts: DataFrame) -> DataFrame:
-        return parts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+        return parts.groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
 
     leaders = by_doc(found.where(F.col("kind") == LEADER))
-    windows = rows.join(leaders, "doc_id").select("doc_id", "text", "spans").mapInArrow(_window_rows, _SEEDS)
+    windows = rows.join(leaders, ["doc_id", "row"]).select("doc_id", "row", "text", "spans").mapInArrow(_window_rows, _SEEDS)
     repeats = staged(_scanned(windows).where(F.col("kind") == COVERED), folder, "windows")
     covered = by_doc(found.where(F.col("kind") == COVERED).unionByName(repeats))
-    return rows.join(covered, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    return rows.join(covered, ["doc_id", "row"], "left").select("doc_id", "text", "spans").mapInArrow(
         _cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"
     )
