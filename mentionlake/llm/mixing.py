@@ -62,18 +62,18 @@ def planned(docs: DataFrame, name: str) -> DataFrame:
     ``passes`` (times the mix takes the document), ``place`` of the source and ``start``,
     the words of the source before it.
 
-    A source's documents follow a hash of their id. It is passed through as often as the
+    A source's documents follow a hash of their id, those without one a hash of their text. It is passed through as often as the
     target allows; of a last, partial pass, the documents whose middle lies before its end
     are taken, so the words come within half a document of the target. Documents without
     words (null, empty) are taken no time. Rows that repeat an id are documents of their
     own. Running sums go by slice of a source, so no source is summed in one task.
     """
-    size, key, digest, slice_, start = (fresh(docs, f"{name}_{x}") for x in ("size", "key", "digest", "slice", "start"))
+    size, key, digest, slice_, start, source_of = (fresh(docs, f"{name}_{x}") for x in ("size", "key", "digest", "slice", "start", "source"))
     source = F.col("source").cast("string")
     rows = docs.withColumns({
         size: F.size(word_array(F.col("text"))).cast("bigint"),
         key: F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source)),
-        digest: F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
+        digest: F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text").cast("string"), F.lit("")).cast("binary")),
     })
     rows = rows.withColumn(slice_, F.substring(digest, 1, SLICE_DIGITS))
     small = rows.select(F.col(key).alias("key"), F.col(slice_).alias("slice"), F.col(size).alias("size"))
@@ -84,11 +84,11 @@ def planned(docs: DataFrame, name: str) -> DataFrame:
     slices = slices.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     slices = slices.join(targets(sizes), "key").select(
         F.col("key").alias(key), F.col("slice").alias(slice_),
-        F.struct("before", "source_size", "target", "place").alias(f"{name}_s"),
+        F.struct("before", "source_size", "target", "place").alias(source_of),
     )
     inside = Window.partitionBy(key, slice_).orderBy(digest, size).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(start, F.coalesce(F.sum(size).over(inside), F.lit(0))).join(slices, [key, slice_])
-    given = F.col(f"{name}_s")
+    given = F.col(source_of)
     begin = F.col(start) + given["before"]
     whole = F.floor(given["target"] / F.greatest(given["source_size"], F.lit(1)))
     rest = given["target"] - whole * given["source_size"]
