@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.llm.stage import new_folder, staged
+from mentionlake.llm.stage import fresh, new_folder, staged
 from mentionlake.operators.sizing import broadcast_if_small
 
 SHINGLE = 5
@@ -30,29 +30,42 @@ def _words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _shingled(rows: DataFrame, key: str) -> DataFrame:
-    """``key, n, shingles``: places of five words and their hashes, in text order."""
+def _shingled(rows: DataFrame, keys: list[str], short: tuple[int, ...] = ()) -> DataFrame:
+    """``keys, n, shingles``: runs of five words, or all words of an item that has fewer,
+    as hashes in text order. A text also gives its runs of each size in ``short``."""
+
+    def runs(w: Column, k: Column | int) -> Column:
+        last = F.greatest(F.size(w) - k + 1, F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(w, i, k)))
 
     def hashes(w: Column) -> Column:
-        last = F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))
-        every = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(w, i, SHINGLE)))
-        return F.when(F.size(w) >= SHINGLE, every).otherwise(F.array().cast("array<bigint>"))
+        none = F.array().cast("array<bigint>")
+        parts = [F.when(F.size(w) >= k, runs(w, k)).otherwise(none) for k in (SHINGLE, *short)]
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
 
     found = F.element_at(F.transform(F.array(_words(F.col("text"))), hashes), 1)
-    rows = rows.select(F.col(key), F.explode(F.array(found)).alias("shingles"))
-    return rows.select(key, F.size("shingles").alias("n"), "shingles").where("n > 0")
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, n_shingles, n_shared, containment`` for every text that holds
-    0.8 or more of an item's distinct five-word shingles.
-
-    Words are lower-cased runs of letters and digits. Items and texts of fewer than five
-    words, null and empty ones have no shingle and never match. Rows without an id are
-    not reported. Repeated rows of an id count as one text; repeated items likewise.
-    """
-    folder = new_folder(docs.sparkSession, "leaks")
-    items = _shingled(benchmark.where("item_id is not null"), "item_id")
+    rows = rows.select(*keys, F.explode(F.array(found)).alias("shingles"))
+    return rows.select(*keys, F.size("shingles").alias("n"), "shingles").where("n > 0")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``id, row, text``: a key without nulls for each id and text; the last bit of ``row``
+    says whether there is an id."""
+    row = F.shiftleft(F.xxhash64(F.col("text").cast("string")), 1).bitwiseOR(F.col("doc_id").isNotNull().cast("bigint"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id"), row.alias("row"), F.col("text").cast("string").alias("text"))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, folder: str) -> DataFrame:
+    """``id, row, item_id, n_shingles, n_shared``, see ``leaks``."""
+    keys = ["id", "row"]
+    n = F.size("words")
+    given = benchmark.where("item_id is not null").select("item_id", "text", F.explode(F.array(_words(F.col("text")))).alias("words"))
+    sizes = given.where((n > 0) & (n < SHINGLE)).select(n.alias("k")).distinct().collect()
+    short = tuple(sorted(r["k"] for r in sizes))
+    items = _shingled(given.where(n >= SHINGLE).select("item_id", "text"), ["item_id"])
+    if short:
+        whole = given.where((n > 0) & (n < SHINGLE)).select("item_id", n.alias("n"), F.array(F.xxhash64("words")).alias("shingles"))
+        items = items.union(whole)
     items = items.groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("shingles"))
     size = F.size("shingles")
     sample = F.least(size, F.lit(LEAST_SAMPLE) * F.greatest(F.lit(1), F.floor(F.log2(size)) - 2))
@@ -64,28 +77,48 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ), folder, "items")
     sketches = items.select("item_id", "hits", "least", F.explode("sample").alias("h"))
     found = (
-        _shingled(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id")
-        .select("doc_id", "n", F.explode("shingles").alias("h"))
+        _shingled(docs, keys, short)
+        .select(*keys, "n", F.explode("shingles").alias("h"))
         .join(broadcast_if_small(sketches), "h").where("n >= least")
-        .groupBy("doc_id", "item_id", "hits").agg(F.count_distinct("h").alias("met"))
+        .groupBy(*keys, "item_id", "hits").agg(F.count_distinct("h").alias("met"))
     )
-    found = staged(found.where("met >= hits").select("doc_id", "item_id"), folder, "candidates")
-    ids = broadcast_if_small(staged(found.select("doc_id").distinct(), folder, "ids"))
+    found = staged(found.where("met >= hits").select(*keys, "item_id"), folder, "candidates")
+    ids = broadcast_if_small(staged(found.select(*keys).distinct(), folder, "ids"))
     whole = items.select("item_id", "n_shingles", F.explode("shingles").alias("h"))
     shared = (
-        _shingled(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "doc_id")
-        .select("doc_id", F.explode("shingles").alias("h"))
+        _shingled(docs.join(ids, keys, "left_semi"), keys, short)
+        .select(*keys, F.explode("shingles").alias("h"))
         .join(broadcast_if_small(whole), "h")
-        .groupBy("doc_id", "item_id", "n_shingles").agg(F.count_distinct("h").alias("n_shared"))
-        .join(found, ["doc_id", "item_id"], "left_semi")
+        .groupBy(*keys, "item_id", "n_shingles").agg(F.count_distinct("h").alias("n_shared"))
+        .join(found, [*keys, "item_id"], "left_semi")
     )
-    part = F.col("n_shared") / F.col("n_shingles")
-    return shared.withColumn("containment", part).where(F.col("n_shared") >= F.ceil(F.lit(CONTAINMENT) * F.col("n_shingles"))).select(
-        "doc_id", "item_id", F.col("n_shingles").cast("bigint").alias("n_shingles"), "n_shared", "containment"
+    return shared.where(F.col("n_shared") >= F.ceil(F.lit(CONTAINMENT) * F.col("n_shingles")))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``doc_id, item_id, n_shingles, n_shared, containment`` for every text that holds
+    0.8 or more of an item's distinct five-word shingles.
+
+    Words are lower-cased runs of letters and digits. An item of fewer than five words is
+    one shingle of its own length, searched among the texts' runs of that length. Null and
+    empty texts and items never match. Rows without an id are reported with a null one,
+    items without one are not searched. Rows that repeat an id and a text count as one;
+    each text of a repeated id is judged by itself. Repeated items count as one item with
+    the shingles of all.
+    """
+    found = _leaks(_keyed(docs), benchmark, new_folder(docs.sparkSession, "leaks"))
+    return found.select(
+        F.when(F.col("row").bitwiseAND(1) == 1, F.col("id")).alias("doc_id"), "item_id",
+        F.col("n_shingles").cast("bigint").alias("n_shingles"), "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"),
     )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the texts that hold a benchmark item; rows without an id stay."""
-    hit = staged(leaks(docs, benchmark).select("doc_id").distinct(), new_folder(docs.sparkSession, "leaks"), "ids")
-    return docs.join(broadcast_if_small(hit), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text holds a benchmark item, whatever their id."""
+    folder = new_folder(docs.sparkSession, "leaks")
+    hit = staged(_leaks(_keyed(docs), benchmark, folder).select("id", "row").distinct(), folder, "hit")
+    key = {c: fresh(docs, f"leak_{c}") for c in ("id", "row")}
+    text = F.col("text").cast("string")
+    row = F.shiftleft(F.xxhash64(text), 1).bitwiseOR(F.col("doc_id").isNotNull().cast("bigint"))
+    rows = docs.withColumns({key["id"]: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), key["row"]: row})
+    return rows.join(broadcast_if_small(hit.withColumnsRenamed(key)), list(key.values()), "left_anti").select(*docs.columns)

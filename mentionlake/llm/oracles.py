@@ -1,25 +1,26 @@
 """SQL twins of the operators' queries, written for DuckDB from the contracts."""
 
 OP5 = r"""
-WITH grams AS (
-    SELECT kind, id, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS g
-    FROM (
-        SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
-        FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
-              UNION ALL SELECT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL)
-    ), unnest(range(1, len(w) - 3)) AS t(i)
-    WHERE len(w) >= 5
+WITH words AS (
+    SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+    FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents
+          UNION ALL SELECT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL)
+), sizes AS (
+    SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE kind = 'i' AND len(w) > 0 UNION SELECT 5
+), grams AS (
+    SELECT kind, id, md5(array_to_string(list_slice(w, i, i + k - 1), ' ')) AS g
+    FROM words JOIN sizes ON len(w) >= k AND (kind = 'd' OR k = least(len(w), 5)), unnest(range(1, len(w) - k + 2)) AS t(i)
 ), items AS (SELECT DISTINCT id, g FROM grams WHERE kind = 'i'),
-sizes AS (SELECT id, count(*) AS n FROM items GROUP BY id),
+n AS (SELECT id, count(*) AS n FROM items GROUP BY id),
 docs AS (SELECT DISTINCT id, g FROM grams WHERE kind = 'd')
-SELECT d.id AS doc_id, i.id AS item_id, s.n AS n_shingles, count(*) AS n_shared, count(*) / s.n AS containment
-FROM docs d JOIN items i USING (g) JOIN sizes s ON s.id = i.id
-GROUP BY d.id, i.id, s.n HAVING count(*) >= 0.8 * s.n
+SELECT d.id AS doc_id, i.id AS item_id, n.n AS n_shingles, count(*) AS n_shared, count(*) / n.n AS containment
+FROM docs d JOIN items i USING (g) JOIN n ON n.id = i.id
+GROUP BY d.id, i.id, n.n HAVING count(*) >= 0.8 * n.n
 """
 
 OP6 = r"""
 WITH d AS (
-    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS h,
            len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
     FROM documents
 ), s AS (
