@@ -102,7 +102,9 @@ def match_aliases(
     rows = sentences.select(key, "sent_no", "sentence", F.lower("sentence").alias("lowered"))
     rows = rows.withColumn("folds", F.col("sentence").rlike(FOLDS_TO_ASCII))
     rows = rows.withColumn("tokens", _sentence_tokens(special))
-    pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits)
+    # Counts of letter runs do not cover letterless anchors; with such, tokens are counted anew.
+    counts = None if token_counts is None or size.marked else token_counts.withColumnRenamed("token", "anchor")
+    pairs = anchor_join(rows, [key, "sent_no"], F.col("tokens"), by_anchor, size.fits, counts=counts)
     # Several anchors of one alias may be in a sentence; the first of them counts.
     once = (F.size("anchors") == 1) | (
         F.col("anchor") == F.array_intersect("anchors", "tokens")[0]

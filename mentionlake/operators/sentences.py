@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionlake.functions.text import sentence_array, strip
+from mentionlake.functions.text import WS, sentence_array, strip
+
+#: An abbreviation's least score, the share of its uses that end in a dot if it is one, and
+#: the most that a learnt list holds, the best first.
+MIN_SCORE = 0.3
+DOTTED_SHARE = 0.99
+MOST_LEARNT = 5_000
 
 
 def split_sentences(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -23,3 +29,66 @@ def split_rows(tables: DataFrame, text: str = "text", key: str = "doc_id") -> Da
         .withColumn("sentence", strip(F.col("sentence")))
         .where(F.col("sentence") != "")
     )
+
+
+def dotted_word(token: Column) -> Column:
+    """The lower-cased word a token ends with, without the dot behind it and the brackets
+    and quotes around it; inner dots stay. Empty where there is no letter."""
+    bare = F.regexp_replace(F.lower(token), r"^[\"'(\[]+|[\"')\],;:!?]+$", "")
+    bare = F.regexp_replace(bare, r"\.$", "")
+    return F.when(F.rlike(bare, F.lit(r"^\p{L}[\p{L}.-]*$")), bare).otherwise("")
+
+
+def learn_abbreviations(
+    texts: DataFrame, text: str = "text", min_score: float = MIN_SCORE, most: int = MOST_LEARNT
+) -> DataFrame:
+    """``word, dotted, plain, score``: words that nearly always carry a dot.
+
+    No labels are needed. A word's uses with and without a dot behind it are compared under
+    two hypotheses, that it is an abbreviation (``DOTTED_SHARE`` of its uses end in a dot)
+    and that dots follow it as they follow any word. The log-likelihood ratio is weighed
+    down for long words, raised for inner dots, and falls with every use without the dot.
+    Words met before a line's end only are no evidence: the last token of a text counts
+    for nothing. Counts are summed before the shuffle, so common words cost no more.
+    """
+    tokens = F.filter(F.split(strip(F.col(text)), f"{WS}+"), lambda t: t != "")
+    inner = F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    rows = texts.select(F.explode_outer(inner).alias("token")).where("token is not null")
+    rows = rows.select(dotted_word(F.col("token")).alias("word"), F.rlike("token", F.lit(r"\.[\"')\]]*$")).alias("dot"))
+    counts = rows.where("word <> ''").groupBy("word").agg(
+        F.count_if("dot").alias("dotted"), F.count_if(~F.col("dot")).alias("plain")
+    )
+    whole = counts.agg((F.sum("dotted") / (F.sum("dotted") + F.sum("plain"))).alias("share"))
+    share = F.least(F.greatest(F.col("share"), F.lit(1e-9)), F.lit(1 - 1e-9))
+    d, u = F.col("dotted").cast("double"), F.col("plain").cast("double")
+    ratio = 2 * (d * (F.log(F.lit(DOTTED_SHARE)) - F.log(share)) + u * (F.log(F.lit(1 - DOTTED_SHARE)) - F.log(1 - share)))
+    letters = F.length(F.replace("word", F.lit(".")))
+    inner_dots = F.length("word") - letters
+    score = ratio * F.exp(-letters.cast("double")) * (inner_dots + 1) * F.exp(-u)
+    # One row meets the counts; the list that comes out is cut to a stated size.
+    scored = counts.where("dotted > 0").join(F.broadcast(whole)).select("word", "dotted", "plain", F.round(score, 6).alias("score"))
+    return scored.where(F.col("score") >= min_score).orderBy(F.desc("score"), "word").limit(most)
+
+
+def split_learned(texts: DataFrame, abbreviations: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key, sent_no, sentence`` as :func:`split_sentences` gives them, but a break behind
+    a learnt abbreviation (``word``) is none. Two words in a row, as in "et al.", are told
+    by the last. The learnt words, a list of stated size, are one literal of the plan, so
+    texts are cut where they are read."""
+    words = [r["word"] for r in abbreviations.select("word").orderBy("word").collect()]
+    known = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+
+    def runs_on(piece: Column) -> Column:
+        last = F.element_at(F.split(piece, f"{WS}+"), -1)
+        return F.rlike(last, F.lit(r"\.$")) & F.array_contains(known, dotted_word(last))
+
+    def joined(done: Column, piece: Column) -> Column:
+        n = F.size(done)
+        longer = F.concat(F.element_at(done, -1), F.lit(" "), piece)
+        open_end = (n > 0) & runs_on(F.element_at(F.when(n > 0, done).otherwise(F.array(F.lit(""))), -1))
+        return F.when(open_end, F.concat(F.slice(done, 1, F.greatest(n - 1, F.lit(0))), F.array(longer))).otherwise(
+            F.concat(done, F.array(piece))
+        )
+
+    pieces = F.aggregate(sentence_array(F.col(text)), F.array().cast("array<string>"), joined)
+    return texts.select(key, F.posexplode_outer(pieces).alias("sent_no", "sentence")).where(F.col("sentence") != "")

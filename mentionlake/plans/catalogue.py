@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from mentionlake.functions import ids as id_functions
 from mentionlake.operators import articles, blocks, detect, dictionary, rollup, score, training
-from mentionlake.operators.sentences import split_rows, split_sentences
+from mentionlake.operators.sentences import learn_abbreviations, split_learned, split_rows, split_sentences
+from mentionlake.operators.sizing import broadcast_if_small
 from mentionlake.plans import inputs
 from mentionlake.session import run_folder
-from mentionlake.sources import readers, writers
+from mentionlake.sources import pruned, readers, writers
 from mentionlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,6 +191,36 @@ def range_join_bundles(spark, sf):
     return rows.select("pmcid", "bundle", "start_id", "end_id")
 
 
+def _searched_ids(spark, sf):
+    """Ids of the articles that the phrase search finds."""
+    found = articles.candidate_articles(inputs.articles(spark, sf), inputs.phrases(spark, sf))
+    return found.select(id_functions.full_id(F.col("doc_id")).alias("pmcid"))
+
+
+@query
+def bundle_articles(spark, sf):
+    """The searched articles, read from the bundles that hold them: every article is
+    written to all bundles whose range holds its id, and few bundles are opened again."""
+    ranges = inputs.bundles(spark, sf)
+    width = 50
+    blocks = ranges.withColumn("b", F.explode(F.sequence(F.floor(F.col("start_id") / width), F.floor(F.col("end_id") / width))))
+    docs = inputs.article_xml(spark, sf).withColumn("b", F.floor(F.col("doc_id") / width))
+    held = docs.join(broadcast_if_small(blocks), "b").select(id_functions.full_id(F.col("doc_id")).alias("pmcid"), "xml", "bundle")
+    folder = run_folder(spark, "articles")
+    pruned.write_bundles(held, folder)
+    rows = pruned.read_wanted_articles(spark, folder, _searched_ids(spark, sf), width)
+    return rows.select("pmcid", "bundle", F.md5(F.col("xml").cast("binary")).alias("xml_md5"))
+
+
+@query
+def metadata_lookup(spark, sf):
+    """The searched articles' records, from their shards only."""
+    folder = run_folder(spark, "metadata")
+    writers.write_metadata_shards(inputs.metadata(spark, sf), folder, SHARDS, files_per_shard=1)
+    rows = pruned.lookup_metadata(spark, folder, _searched_ids(spark, sf), SHARDS)
+    return rows.select("pmcid", "title", "firstPublicationDate", "citedByCount")
+
+
 @query
 def source_cascade(spark, sf):
     docs = inputs.table(spark, sf, "documents").select("doc_id", "lang", "source").withColumn(
@@ -257,6 +288,17 @@ def sentences(spark, sf):
     return inputs.sentences(spark, sf)
 
 
+@query
+def abbreviations_learned(spark, sf):
+    return learn_abbreviations(inputs.texts(spark, sf))
+
+
+@query
+def sentences_learned(spark, sf):
+    texts = inputs.texts(spark, sf)
+    return split_learned(texts, learn_abbreviations(texts))
+
+
 @query
 def extract_blocks_html(spark, sf):
     return blocks.page_blocks(inputs.table(spark, sf, "pages"))
@@ -324,6 +366,20 @@ def mentions_consuming(spark, sf):
     return found.select("doc_id", "sent_no", "resource_name", "alias")
 
 
+@query
+def mentions_large_dictionary(spark, sf):
+    """Part names and the search dictionary in texts and part descriptions, by the shuffled
+    path for dictionaries that are too large to broadcast."""
+    parts = inputs.table(spark, sf, "part").select(
+        (-1 - F.col("p_partkey")).alias("doc_id"), F.concat_ws(" ", F.lit("A"), "p_name", "p_type", F.lit("of"), "p_brand").alias("text")
+    )
+    texts = inputs.texts(spark, sf).unionByName(parts)
+    fields = ["resource_id", "resource_name", "alias", "alias_pos", "case_sensitive"]
+    names = _part_aliases(spark, sf).select(*fields).unionByName(inputs.aliases(spark).select(*fields))
+    found = detect.match_aliases(split_sentences(texts), names, max_rows=0)
+    return found.select("doc_id", "sent_no", "resource_id", "resource_name", "alias")
+
+
 def _suppressed(spark, sf):
     pairs = detect.match_aliases(inputs.sentences(spark, sf), inputs.aliases(spark))
     return detect.suppress_substrings(pairs)

@@ -640,3 +640,106 @@ oracle(
 oracle("first_seen_stream", "SELECT DISTINCT 'PMC' || user_id AS pmcid FROM events")
 oracle("mentions_stream", "SELECT doc_id, sent_no, resource_name, alias FROM mentions", DEDUP)
 oracle("counts_stream", "SELECT * FROM spec", SCORED, SPECIFICITY)
+
+# --- reads by file, large dictionaries, learnt sentence ends, quotas ---
+
+
+def escaped(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+oracle(
+    "bundle_articles",
+    f"""SELECT 'PMC' || doc_id AS pmcid, bundle, md5('<article><front><article-meta><article-id pub-id-type="pmcid">PMC' || doc_id
+      || '</article-id><title-group><article-title>' || first || '</article-title></title-group><abstract><title>Abstract</title><p>' || first
+      || '</p></abstract></article-meta></front><body><p>outside</p><sec><title>' || source || '</title><p> ' || {escaped('text')}
+      || '<list><list-item><p>' || lang || '</p></list-item></list></p><sec><title>sub</title><p>in <i>' || lang
+      || '</i> out</p></sec></sec><sec sec-type="orcid"><p>no</p></sec><sec><p>end<table-wrap><caption><p>cap</p></caption><table><tr><td>h</td></tr><tr><td>'
+      || source || '</td><td> </td><th>x</th></tr></table></table-wrap></p></sec></body></article>') AS xml_md5
+    FROM (SELECT *, {escaped(parts('text') + '[1]')} AS first FROM documents) JOIN bundles ON doc_id BETWEEN start_id AND end_id
+    WHERE doc_id IN (SELECT doc_id FROM found)
+    QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY start_id, end_id) = 1""",
+    BUNDLES,
+    PHRASES,
+)
+oracle(
+    "metadata_lookup",
+    """SELECT pmcid, title, "firstPublicationDate", "citedByCount" FROM metadata
+    WHERE k IN (SELECT doc_id FROM found)""",
+    METADATA.replace("SELECT 'PMC' || k AS id,", "SELECT k, 'PMC' || k AS id,"),
+    PHRASES,
+)
+_described = SENT.replace(
+    "FROM documents))",
+    "FROM (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - p_partkey, 'A ' || p_name || ' ' || p_type || ' of ' || p_brand FROM part)))",
+)
+# Part names hold letters only as whole words, so their first one must be a word of the sentence.
+oracle(
+    "mentions_large_dictionary",
+    f"""SELECT doc_id, sent_no, resource_id, resource_name, alias FROM raw
+    UNION ALL SELECT doc_id, sent_no, resource_id, resource_name, alias
+    FROM (SELECT alias AS a, doc_id, sent_no
+      FROM (SELECT DISTINCT alias, case_sensitive, regexp_extract(lower(alias), '[a-z]+') AS w FROM aliases) n
+      JOIN (SELECT DISTINCT doc_id, sent_no, sentence, unnest(regexp_split_to_array(lower(sentence), '[^a-z]+')) AS w FROM sent) USING (w)
+      WHERE regexp_matches(CASE WHEN case_sensitive THEN sentence ELSE lower(sentence) END,
+          '(^|[^A-Za-z])' || {core("CASE WHEN case_sensitive THEN alias ELSE lower(alias) END")} || '([^A-Za-z]|$)')) h
+    JOIN aliases ON aliases.alias = a""",
+    _described,
+    raw("sent"),
+    ALIASES,
+)
+
+
+def dotted(x: str) -> str:
+    bare = f"regexp_replace(regexp_replace(lower({x}), '^[\"''(\\[]+|[\"'')\\],;:!?]+$', '', 'g'), '\\.$', '')"
+    return f"CASE WHEN regexp_full_match({bare}, '\\p{{L}}[\\p{{L}}.-]*') THEN {bare} ELSE '' END"
+
+
+ABBREVIATIONS = f"""
+told AS (
+  SELECT unnest(t[1:len(t) - 1]) AS token
+  FROM (SELECT list_filter(regexp_split_to_array({trim('text')}, {q(WS + '+')}), lambda x: x <> '') AS t FROM documents)),
+uses AS (
+  SELECT word, count(*) FILTER (dot) AS dotted, count(*) FILTER (NOT dot) AS plain
+  FROM (SELECT {dotted('token')} AS word, regexp_matches(token, '\\.["'')\\]]*$') AS dot FROM told) WHERE word <> '' GROUP BY word),
+learnt AS (
+  SELECT word, dotted, plain, round(
+      2 * (dotted * (ln(0.99::DOUBLE) - ln(share)) + plain * (ln(1 - 0.99::DOUBLE) - ln(1 - share)))
+      * exp(-length(replace(word, '.', ''))::DOUBLE) * (length(word) - length(replace(word, '.', '')) + 1) * exp(-plain::DOUBLE), 6) AS score
+  FROM uses, (SELECT sum(dotted)::DOUBLE / (sum(dotted) + sum(plain)) AS share FROM uses) WHERE dotted > 0),
+abbreviations AS (SELECT * FROM learnt WHERE score >= 0.3 ORDER BY score DESC, word LIMIT 5000)"""
+oracle("abbreviations_learned", "SELECT * FROM abbreviations", ABBREVIATIONS)
+oracle(
+    "sentences_learned",
+    f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1 AS INT) AS sent_no, sentence
+    FROM (SELECT doc_id, g, string_agg(piece, ' ' ORDER BY n) AS sentence FROM (
+      SELECT doc_id, n, piece, sum(CASE WHEN after THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY n) AS g
+      FROM (SELECT doc_id, n, piece, coalesce(lag(runs) OVER (PARTITION BY doc_id ORDER BY n), false) AS after FROM (SELECT doc_id, n, piece, regexp_matches(piece, '\\.$') AND {dotted(f"regexp_split_to_array(piece, {q(WS + '+')})[-1]")} IN (SELECT word FROM abbreviations) AS runs
+        FROM (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS n FROM (SELECT doc_id, {parts('text')} AS p FROM documents)))))
+      GROUP BY doc_id, g) QUALIFY sentence <> ''""",
+    ABBREVIATIONS,
+)
+oracle(
+    "quota_sample",
+    """SELECT resource_name, alias, label, article_topic_match, doc_id, block_no, sentence AS paragraph_text
+    FROM ranked JOIN (SELECT resource_name, alias, n FROM walk WHERE take) USING (resource_name, alias, n)
+    WHERE (resource_name, alias) IN (
+      SELECT (resource_name, alias) FROM walk WHERE take AND early GROUP BY resource_name, alias
+      HAVING count(*) FILTER (label = 1) > 0 AND count(*) FILTER (label = 0) > 0)""",
+    LABELLED,
+    """ranked AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY resource_name, alias ORDER BY art, doc_id, block_no, label) AS n,
+    dense_rank() OVER (PARTITION BY resource_name, alias ORDER BY art, doc_id) <= 200 AS early
+  FROM (SELECT *, md5('42|' || alias || '|' || doc_id) AS art FROM labelled)),
+walk AS (
+  SELECT resource_name, alias, 0::BIGINT AS n, 0 AS pos, 0 AS neg, '' AS art, 0 AS used, false AS take, -1 AS label, false AS early
+  FROM (SELECT DISTINCT resource_name, alias FROM ranked)
+  UNION ALL
+  SELECT resource_name, alias, n, pos + CASE WHEN now AND label = 1 THEN 1 ELSE 0 END, neg + CASE WHEN now AND label = 0 THEN 1 ELSE 0 END,
+    art, used + CASE WHEN now THEN 1 ELSE 0 END, now, label, early
+  FROM (SELECT *, used < 5 AND (CASE WHEN label = 1 THEN pos ELSE neg END) < 20 AS now FROM (
+    SELECT r.resource_name, r.alias, r.n, w.pos, w.neg, r.art, CASE WHEN r.art = w.art THEN w.used ELSE 0 END AS used, r.label, r.early
+    FROM walk w JOIN ranked r ON r.resource_name = w.resource_name AND r.alias = w.alias AND r.n = w.n + 1
+    WHERE w.pos < 20 OR w.neg < 20)))""",
+)
+ORACLES["quota_sample"] = ORACLES["quota_sample"].replace("WITH ", "WITH RECURSIVE ", 1)
