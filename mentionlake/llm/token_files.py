@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -25,21 +24,57 @@ from mentionlake.llm.stage import new_folder, staged
 
 END_ID = 2
 #: Words whose ids a worker remembers; then it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 1_500_000
 #: What one task reads back.
 TASK_TOKENS = 32 << 20
 # What a tokenizer's file must say for its texts to be encoded word by word; fixed values of
 # the public vocabulary file.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
-#: Letters whose lower case and normal form are single letters of this set, whatever stands
-#: beside them, and the punctuation that may follow.
-_SPLIT = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!|:;?$%&*#]*)").fullmatch
+#: Punctuation that parts from the letters before it: every byte of it is one character.
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[list(b".,!|:;?$%&*#")] = True
+_LETTERS = np.array([chr(b).isalpha() and b < 128 for b in range(256)])
 #: Between words: the white space that a normal form can neither make nor take away.
 _BETWEEN = np.zeros(256, dtype=bool)
 _BETWEEN[[0x20, 0x09, 0x0A, 0x0D]] = True
 
 
+def _units(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, start, end and kind of each unit, and the number of the first unit of each row.
+
+    A word of plain letters and the punctuation behind them is cut in two units, the letters
+    in lower case (kind 1) and the punctuation; any other word is one unit as it stands
+    (kind 0). Plain are A to Z and the letters U+00C0 to U+00FF, whose lower case and normal
+    form are single letters, whatever stands beside them.
+    """
+    starts, ends, first = word_spans(data, rows, _BETWEEN)
+    if not len(starts):
+        return data, starts, ends, np.zeros(0, np.int64), first
+    after = np.append(data[1:], np.uint8(0))
+    pair = (data == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+    second = np.append(False, pair[:-1])
+    letter, point = _LETTERS[data] | pair | second, _PUNCTUATION[data]
+    # What no plain word has: other bytes, and a letter behind punctuation.
+    odd = ~(letter | point)
+    odd[1:] |= letter[1:] & point[:-1]
+    odd[starts] = ~(letter | point)[starts]
+    seen = np.append(0, np.cumsum(odd))
+    plain = seen[ends] == seen[starts]
+    inside = np.zeros(len(data) + 1, dtype=np.int8)
+    inside[starts[plain]] += 1
+    inside[ends[plain]] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    raised = inside & ((data >= 65) & (data <= 90) | second & (data <= 0x9E))
+    cut = np.flatnonzero(inside[1:] & point[1:] & letter[:-1]) + 1
+    cut = cut[np.searchsorted(starts, cut, side="right") == np.searchsorted(starts, cut - 1, side="right")]
+    units = np.sort(np.concatenate([starts, cut]))
+    word = np.searchsorted(starts, units, side="right") - 1
+    last = np.append(word[1:] != word[:-1], True)
+    stops = np.where(last, ends[word], np.append(units[1:], 0))
+    return data + raised.astype(np.uint8) * np.uint8(32), units, stops, (plain[word] & letter[units]).astype(np.int64), np.searchsorted(units, rows)
+
+
 def splits_at_spaces(path: str) -> bool:
     """Whether the tokenizer's own file describes a pipeline in which no token, and no step
     before the tokens, reaches across ASCII white space."""
@@ -60,9 +95,10 @@ def splits_at_spaces(path: str) -> bool:
 class WordEncoder:
     """Ids of texts, each distinct word of a batch encoded once.
 
-    Words stand between ASCII white space. A batch's words are interned in a table; new
-    ones are encoded, those of plain letters together as one text, all others one by one
-    by the tokenizer, and occurrences gather the ids of their words. A tokenizer whose file
+    Words stand between ASCII white space; plain ones part from the punctuation behind them
+    and from their case. A batch's units are interned in a table; new ones are encoded, those
+    of plain letters together as one text, all others one by one by the tokenizer, and
+    occurrences gather the ids of their units. A tokenizer whose file
     does not say that this is exact encodes whole texts.
     """
 
@@ -95,22 +131,6 @@ class WordEncoder:
                 self.known[word.encode()] = data[at:end]
                 at = end
 
-    def _learn(self, words: list[bytes]) -> None:
-        known, split, letters, others = self.known, {}, set(), set()
-        for word in words:
-            text = word.decode()
-            m = _SPLIT(text)
-            parts = tuple(p for p in (m[1].lower(), m[2]) if p) if m else (text,)
-            split[word] = [p.encode() for p in parts]
-            for p in parts:
-                if p.encode() not in known:
-                    (letters if m and p.isalpha() else others).add(p)
-        self._encode_letters(list(letters))
-        self._encode_each(list(others))
-        for word, parts in split.items():
-            if len(parts) > 1 or parts[0] != word:
-                known[word] = b"".join([known[p] for p in parts])
-
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         if not self.by_word:
             plain = [t or "" for t in texts.to_pylist()]
@@ -118,10 +138,12 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.known = {}
         data, rows = text_bytes(texts)
-        starts, ends, first = word_spans(data, rows, _BETWEEN)
+        data, starts, ends, kind, first = _units(data, rows)
         table = Table(padded(data), starts, ends - starts)
         words = table.keys()
-        self._learn([w for w in words if w not in self.known])
+        new = [(w, k) for w, k in zip(words, kind[table.owner].tolist(), strict=True) if w not in self.known]
+        self._encode_letters([w.decode() for w, k in new if k])
+        self._encode_each([w.decode() for w, k in new if not k])
         found = [self.known[w] for w in words]
         ids = np.frombuffer(b"".join(found), "<u4")
         size, begin = np.zeros(table.size, np.int64), np.zeros(table.size, np.int64)
