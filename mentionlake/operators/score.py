@@ -73,7 +73,7 @@ def train_weights(examples: DataFrame, balanced: bool = True) -> DataFrame:
     )
 
 
-def _with_probability(df: DataFrame, p1: Column) -> DataFrame:
+def with_probability(df: DataFrame, p1: Column) -> DataFrame:
     """Class and confidence, the probability of the chosen class; a tie is class 0. The
     probability passes through a one-row explode, so that filters on either column do not
     make Spark compute it again."""
@@ -105,7 +105,7 @@ def score_mentions(mentions: DataFrame, weights: DataFrame) -> DataFrame:
     each = F.transform(pair_words(F.col("sentence"), F.col("alias")), lambda w: F.get(table, place(w)))
     logit = F.aggregate(each, F.lit(0).cast("bigint"), lambda total, w: total + w)
     p1 = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit / F.lit(float(MICRO))))
-    return _with_probability(mentions, p1)
+    return with_probability(mentions, p1)
 
 
 def score_with(
@@ -129,7 +129,7 @@ def score_with(
     scored = pairs.withColumn("_p1", predict("alias", "sentence"))
     joined = rows.join(scored, ["alias", "sentence", "_salt"]).drop("_salt")
     p1 = F.col("_p1")
-    return _with_probability(joined.withColumn("_p", p1).drop("_p1"), F.col("_p")).drop("_p")
+    return with_probability(joined.withColumn("_p", p1).drop("_p1"), F.col("_p")).drop("_p")
 
 
 def confidence_band(confidence: Column) -> Column:

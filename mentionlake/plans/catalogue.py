@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlake.functions import ids as id_functions
-from mentionlake.operators import articles, blocks, detect, dictionary, rollup, score, training
+from mentionlake.operators import articles, blocks, classifier, detect, dictionary, rollup, score, training
 from mentionlake.operators.sentences import learn_abbreviations, split_learned, split_rows, split_sentences
 from mentionlake.operators.sizing import broadcast_if_small
 from mentionlake.plans import inputs
 from mentionlake.session import run_folder
-from mentionlake.sources import pruned, readers, writers
+from mentionlake.sources import fact_store, pruned, readers, writers
 from mentionlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -508,9 +508,48 @@ def fact_mentions(spark, sf):
     return spark.read.parquet(f"{out}/rows").select(*facts.columns)
 
 
+def _stored_facts(spark, sf):
+    """Facts of all articles as a table, and a stream of its files, one to a batch."""
+    scored = inputs.scored(spark, sf).withColumn("pmcid", id_functions.full_id(F.col("doc_id")))
+    summary = rollup.summarise(scored, ["pmcid", "resource_id", "resource_name", "alias"])
+    facts = rollup.mention_facts(summary, _gate(spark, sf)[0], VERSION)
+    out = run_folder(spark, "fact-store")
+    facts.write.parquet(f"{out}/given")
+    inputs.metadata(spark, sf).write.parquet(f"{out}/metadata")
+    stream = spark.readStream.schema(facts.schema).parquet(f"{out}/given")
+    metadata = spark.read.parquet(f"{out}/metadata")
+    # The second stream knows nothing of the first and brings all facts again.
+    for name in ("first", "again"):
+        jobs.fact_store_stream(stream, f"{out}/store", f"{out}/state-{name}", metadata, name=name).awaitTermination()
+    return out, facts.schema, metadata.schema
+
+
+@query
+def fact_stream(spark, sf):
+    out, schema, _ = _stored_facts(spark, sf)
+    return fact_store.read_part(spark, f"{out}/store/facts", schema).drop("bucket")
+
+
+@query
+def publications_stored(spark, sf):
+    """All metadata fields of the articles that have facts."""
+    out, _, schema = _stored_facts(spark, sf)
+    return fact_store.read_part(spark, f"{out}/store/publications", schema).drop("bucket")
+
+
 # --- training data ---
 
 
+@query
+def trained_scores(spark, sf):
+    """The labelled examples under a classifier trained on them, stored and loaded."""
+    examples = inputs.labelled_texts(spark, sf)
+    path = f"{run_folder(spark, 'classifier')}/model"
+    classifier.save_classifier(classifier.train_classifier(examples), path)
+    rows = classifier.score_trained(examples, classifier.load_classifier(path), "text")
+    return rows.select("doc_id", "alias", "label", "prediction", F.round("confidence", 3).alias("confidence"))
+
+
 @query
 def block_labels(spark, sf):
     rows = training.label_blocks(inputs.articles(spark, sf), inputs.definitions(spark))
@@ -621,3 +660,13 @@ def counts_stream(spark, sf):
         f"{out}/state",
     ).awaitTermination()
     return jobs.current_specificity(spark, f"{out}/rows")
+
+
+@query
+def specificity_stream(spark, sf):
+    out = run_folder(spark, "specificity")
+    scored = inputs.scored(spark, sf).select("resource_name", "alias", "prediction")
+    scored.write.parquet(f"{out}/scored")
+    arriving = spark.readStream.schema(scored.schema).option("maxFilesPerTrigger", 64).parquet(f"{out}/scored")
+    jobs.specificity_stream(arriving, f"{out}/rows", f"{out}/state").awaitTermination()
+    return jobs.streamed_specificity(spark, f"{out}/rows")

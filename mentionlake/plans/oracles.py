@@ -743,3 +743,12 @@ walk AS (
     WHERE w.pos < 20 OR w.neg < 20)))""",
 )
 ORACLES["quota_sample"] = ORACLES["quota_sample"].replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLES["fact_stream"] = ORACLES["fact_mentions"]
+ORACLES["specificity_stream"] = ORACLES["specificity_scores"]
+oracle(
+    "publications_stored",
+    f"""SELECT * FROM metadata WHERE pmcid IN (SELECT pmcid FROM gate WHERE reason IS NULL)
+    AND pmcid IN (SELECT 'PMC' || doc_id FROM scored WHERE {YES})""",
+    SCORED,
+    METADATA,
+)

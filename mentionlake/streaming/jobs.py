@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from mentionlake.operators.detect import find_in_texts
 from mentionlake.operators.rollup import merge_counts, prediction_counts, specificity
 from mentionlake.operators.score import score_mentions
+from mentionlake.sources.fact_store import BUCKETS, commit_facts
 from mentionlake.sources.writers import append_facts
 
 
@@ -101,3 +102,47 @@ def facts_stream(facts: DataFrame, path: str, checkpoint: str) -> StreamingQuery
         append_facts(batch, path)
 
     return _per_batch(facts, checkpoint, work)
+
+
+def fact_store_stream(
+    facts: DataFrame, path: str, checkpoint: str, publications: DataFrame | None = None,
+    buckets: int = BUCKETS, name: str = "facts",
+) -> StreamingQuery:
+    """Commits facts batch by batch to the store of :mod:`~mentionlake.sources.fact_store`,
+    under ``name`` and the batch number. A replayed batch is known by its id; a stream that
+    starts over under another name finds its keys stored. Each batch is stored once
+    before it is used, as a commit reads it several times."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        held = f"{path}/incoming/{name}-{batch_id}"
+        batch.write.mode("overwrite").parquet(held)
+        rows = batch.sparkSession.read.schema(batch.schema).parquet(held)
+        commit_facts(rows, path, f"{name}-{batch_id}", publications, buckets)
+
+    return _per_batch(facts, checkpoint, work)
+
+
+def specificity_stream(scored: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Positive and negative counts of each alias over a stream of scored mentions, kept in
+    the state store. A batch writes the aliases it changed, with their totals so far; one
+    that runs again replaces its own folder."""
+    counts = scored.groupBy("resource_name", "alias").agg(
+        F.count_if(F.col("prediction") == 0).alias("negatives"), F.count_if(F.col("prediction") == 1).alias("positives")
+    )
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        counts.writeStream.outputMode("update").foreachBatch(work)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def streamed_specificity(spark: SparkSession, path: str) -> DataFrame:
+    """The specificity of each alias by its latest totals."""
+    rows = spark.read.parquet(path)
+    last = rows.groupBy("resource_name", "alias").agg(F.max_by(F.struct("negatives", "positives"), "batch").alias("n"))
+    totals = last.select("resource_name", "alias", "n.negatives", "n.positives")
+    share = F.col("positives") / (F.col("negatives") + F.col("positives"))
+    return totals.withColumn("specificity", F.round(share, 6))
