@@ -126,7 +126,8 @@ def specificity_stream(scored: DataFrame, path: str, checkpoint: str) -> Streami
     """Positive and negative counts of each alias over a stream of scored mentions, kept in
     the state store. A batch writes the aliases it changed, with their totals so far; one
     that runs again replaces its own folder."""
-    counts = scored.groupBy("resource_name", "alias").agg(
+    keyed = scored.dropna(subset=["resource_name", "alias", "prediction"])
+    counts = keyed.groupBy("resource_name", "alias").agg(
         F.count_if(F.col("prediction") == 0).alias("negatives"), F.count_if(F.col("prediction") == 1).alias("positives")
     )
 
