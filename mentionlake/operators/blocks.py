@@ -262,8 +262,9 @@ def _visible(c: Column, glue: str) -> Column:
 def page_blocks(pages: DataFrame, glue: str = "") -> DataFrame:
     """``page_id, block_no, kind, text``: headings and paragraphs of all articles of each
     page, an unclosed one to the end; without any article those of the body, or else of
-    the page."""
-    clean = F.regexp_replace("html", PAGE_NOISE, "")
+    the page. A page is cleaned once."""
+    once = F.explode_outer(F.array(F.regexp_replace("html", PAGE_NOISE, ""))).alias("clean")
+    pages, clean = pages.select("page_id", once), F.col("clean")
     found = F.array_join(F.regexp_extract_all(clean, F.lit(PAGE_ARTICLE), F.lit(1)), "")
     whole = F.when(clean.rlike(PAGE_BODY), F.regexp_extract(clean, PAGE_BODY, 1)).otherwise(clean)
     body = F.when(clean.rlike(PAGE_ARTICLE), found).otherwise(whole)
@@ -301,31 +302,24 @@ def flatten_tables(cells: DataFrame, captions: DataFrame | None = None) -> DataF
 
     Non-empty cells of a row are joined by ``" | "``, header cells and all cells of row 0
     are marked, lines end in a full stop so that each splits off as a sentence. Tables
-    without any line are dropped. One shuffle serves both groupings.
+    without any line are dropped. One grouping by table serves cells and rows: the value
+    built is the table itself.
     """
+    marked = F.col("is_header") | (F.col("row_no") == 0)
     shown = cells.where(F.col("text") != "").select(
-        "doc_id",
-        "table_no",
-        "row_no",
-        "col_no",
-        F.when(
-            F.col("is_header") | (F.col("row_no") == 0), F.concat(F.lit(HEADER), "text")
-        ).otherwise(F.col("text")).alias("text"),
+        "doc_id", "table_no", "row_no", "col_no", F.when(marked, F.concat(F.lit(HEADER), "text")).otherwise(F.col("text")).alias("text")
     )
-    by_table = shown.repartition("doc_id", "table_no")
-    line = _in_order(" | ", "col_no")
-    lines = by_table.groupBy("doc_id", "table_no", "row_no").agg(line.alias("text"))
     if captions is not None:
-        top = captions.where(F.col("text") != "").select(
-            "doc_id", "table_no", F.lit(-1).alias("row_no"), F.concat(F.lit(CAPTION), "text").alias("text")
-        )
-        lines = lines.unionByName(top)
-    return lines.groupBy("doc_id", "table_no").agg(_in_order(".\n", "row_no").alias("text"))
-
-
-def _in_order(joiner: str, by: str) -> Column:
-    rows = F.array_sort(F.collect_list(F.struct(by, "text")))
-    return F.array_join(F.transform(rows, lambda r: r["text"]), joiner)
+        shown = shown.unionByName(captions.where(F.col("text") != "").select(
+            "doc_id", "table_no", F.lit(-1).alias("row_no"), F.lit(0).alias("col_no"), F.concat(F.lit(CAPTION), "text").alias("text")
+        ))
+    ordered = F.array_sort(F.collect_list(F.struct("row_no", "col_no", "text")))
+    tables = shown.groupBy("doc_id", "table_no").agg(ordered.alias("cells"))
+    before = lambda i: F.get("cells", i - 1)["row_no"]
+    same_row = lambda c, i: before(i).eqNullSafe(c["row_no"]) & ~c["row_no"].eqNullSafe(F.lit(-1))
+    joiner = lambda c, i: F.when(i == 0, "").when(same_row(c, i), " | ").otherwise(".\n")
+    pieces = F.transform("cells", lambda c, i: F.concat(joiner(c, i), c["text"]))
+    return tables.select("doc_id", "table_no", F.array_join(pieces, "").alias("text"))
 
 
 def assemble_text(blocks: DataFrame, key: str = "doc_id") -> DataFrame:

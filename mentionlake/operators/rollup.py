@@ -11,6 +11,8 @@ from pyspark.sql.window import Window
 from mentionlake.operators.score import MICRO, MIN_CONFIDENCE, confident
 from mentionlake.operators.sizing import broadcast_if_small
 
+#: Registers of a distinct-count sketch, as a power of two.
+SKETCH_BITS = 14
 FACT_KEY = ["pmcid", "resource_id", "matched_alias", "version"]
 
 
@@ -80,6 +82,29 @@ def mention_counters(scored: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def sketch_counters(scored: DataFrame, by: Sequence[str], of: str = "doc_id", bits: int = SKETCH_BITS) -> DataFrame:
+    """Partial counters that can be merged: ``mentions`` and a sketch of the distinct values
+    of ``of`` for each ``by``. A partial takes a few kilobytes however many values it saw, so
+    chunks and days are kept and merged without their rows. Null values count as none."""
+    return scored.groupBy(*by).agg(F.count("*").alias("mentions"), F.hll_sketch_agg(of, bits).alias("sketch"))
+
+
+def merge_sketches(partials: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, mentions, sketch`` of partial counters at a finer grain."""
+    return partials.groupBy(*by).agg(F.sum("mentions").alias("mentions"), F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """The relative standard error of an estimate."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def estimated_counters(partials: DataFrame) -> DataFrame:
+    """``sketch`` replaced by its estimate, ``distinct_estimate``."""
+    estimate = F.hll_sketch_estimate("sketch").alias("distinct_estimate")
+    return partials.select(*[c for c in partials.columns if c != "sketch"], estimate)
+
+
 def rank_mentions(scored: DataFrame, key: str = "doc_id") -> DataFrame:
     """Order within an article: predicted matches first, then by confidence."""
     w = Window.partitionBy(key).orderBy(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionlake.functions import ids as id_functions
-from mentionlake.operators import articles, blocks, classifier, detect, dictionary, rollup, score, training
+from mentionlake.operators import articles, blocks, classifier, detect, dictionary, phrase_index, rollup, score, subwords, training
 from mentionlake.operators.sentences import learn_abbreviations, split_learned, split_rows, split_sentences
 from mentionlake.operators.sizing import broadcast_if_small
 from mentionlake.plans import inputs
@@ -23,6 +23,7 @@ PART_CASE_SENSITIVE = ["red widget", "hot gear"]
 LISTED_IDS = ["PMC1", "PMC5", " PMC5", "PMC42", "", "PMC999999999"]
 VERSION = {"name": "full text run", "date": "2025-01-31", "user": "analyst"}
 SHARDS = 37
+INDEX_BUCKETS = 16
 CHUNKS = 7
 
 
@@ -120,6 +121,16 @@ def candidate_articles(spark, sf):
     return articles.candidate_articles(inputs.articles(spark, sf), inputs.phrases(spark, sf))
 
 
+@query
+def phrase_index_hits(spark, sf):
+    """Benchmark passages and the search dictionary, looked up in an index of the texts."""
+    path = run_folder(spark, "phrase-index")
+    texts = inputs.articles(spark, sf).where("has_full_text").select("doc_id", "text")
+    phrase_index.build_index(texts, path, buckets=INDEX_BUCKETS, slices=2)
+    names = inputs.phrases(spark, sf).select("alias").union(inputs.aliases(spark).select("alias")).distinct()
+    return phrase_index.search_index(spark, path, names, INDEX_BUCKETS)
+
+
 @query
 def include_ids(spark, sf):
     arts = inputs.articles(spark, sf)
@@ -494,6 +505,18 @@ def mention_counters(spark, sf):
     return rollup.mention_counters(inputs.scored(spark, sf))
 
 
+@query
+def mention_sketches(spark, sf):
+    """Distinct articles of each resource, from sketches kept by chunk and merged."""
+    scored = inputs.scored(spark, sf).withColumn("chunk", F.col("doc_id") % CHUNKS)
+    path = f"{run_folder(spark, 'sketches')}/partials"
+    rollup.sketch_counters(scored, ["chunk", "resource_name"]).write.parquet(path)
+    merged = rollup.estimated_counters(rollup.merge_sketches(spark.read.parquet(path), ["resource_name"]))
+    exact = inputs.mentions(spark, sf).groupBy("resource_name").agg(F.count_distinct("doc_id").alias("articles"))
+    near = F.abs(F.col("distinct_estimate") - F.col("articles")) <= 3 * rollup.sketch_error() * F.col("articles")
+    return merged.join(exact, "resource_name").select("resource_name", "mentions", "articles", near.alias("within_error"))
+
+
 @query
 def fact_mentions(spark, sf):
     """Facts of all articles; an earlier run had stored those of the first resources."""
@@ -584,6 +607,22 @@ def token_windows(spark, sf):
     )
 
 
+@query
+def subword_windows(spark, sf):
+    """Windows of the labelled examples with a probability each, by a classifier trained on
+    the windows."""
+    import public_tokenizers
+
+    rows = inputs.labelled_texts(spark, sf).select("doc_id", "alias", "label", "text")
+    folder = run_folder(spark, "windows")
+    subwords.subword_windows(rows, public_tokenizers.path("word_bpe_49k.json")).write.parquet(f"{folder}/rows")
+    windows = spark.read.parquet(f"{folder}/rows")
+    model = classifier.train_classifier(windows.withColumnRenamed("window", "text"))
+    return classifier.score_trained(windows, model, "window").select(
+        "doc_id", "alias", "label", "window_no", "n_tokens", "padding", "ids", "window", "prediction", F.round("confidence", 3).alias("confidence")
+    )
+
+
 @query
 def train_test_first_n(spark, sf):
     rows = inputs.table(spark, sf, "documents").select("doc_id", "source")
@@ -635,6 +674,16 @@ def first_seen_stream(spark, sf):
     return spark.read.schema(fresh.schema).parquet(f"{out}/rows").select("pmcid")
 
 
+@query
+def first_record_stream(spark, sf):
+    arrivals = _stream(spark, sf, "events").select(
+        F.concat(F.lit("PMC"), "user_id").alias("pmcid"), F.col("ts").cast("timestamp").alias("seen_at"), "event_id", "event_type"
+    )
+    out = run_folder(spark, "first-record")
+    jobs.first_record_stream(arrivals, f"{out}/rows", f"{out}/state").awaitTermination()
+    return jobs.first_records(spark, f"{out}/rows").select("pmcid", "event_id", "event_type")
+
+
 @query
 def mentions_stream(spark, sf):
     out = run_folder(spark, "mentions")

@@ -18,8 +18,9 @@ WS = (
 WS_LIST = "".join(map(chr, [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 DASH = r"[-\x{2010}\x{2011}\x{2012}\x{2013}\x{2014}\x{2212}]"
 PAGE_NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-PAGE_ARTICLE = r"(?s)<article[^>]*>(.*?)</article>"
-PAGE_BLOCK = r"<(h1|p)(?:\s[^>]*)?>"
+PAGE_ARTICLE = r"(?s)<article[^>]*>(.*?)(?:</article>|\z)"
+PAGE_BODY = r"(?s)<body[^>]*>(.*?)(?:</body>|\z)"
+PAGE_BLOCK = r"<(h[1-6]|p)(?:\s[^>]*)?>"
 PAGE_ITEM = r"<li(?:\s[^>]*)?>"
 PAGE_ITEM_END = r"(?s)</li>.*$"
 PAGE_TAG = r"<[^>]*>"
@@ -257,10 +258,13 @@ def visible(x: str) -> str:
 
 
 _cleaned = f"regexp_replace(html, '{PAGE_NOISE}', '', 'g')"
-_marked = (
-    f"regexp_replace(regexp_extract({_cleaned}, '{PAGE_ARTICLE}', 1), '{PAGE_BLOCK}', "
-    "chr(1) || '\\1' || chr(2), 'g')"
-)
+_marked = f"regexp_replace(body, '{PAGE_BLOCK}', chr(1) || '\\1' || chr(2), 'g')"
+PAGES = f"""
+cleaned AS (SELECT page_id, {_cleaned} AS clean FROM pages),
+bodies AS (SELECT page_id, CASE
+    WHEN regexp_matches(clean, '{PAGE_ARTICLE}') THEN array_to_string(regexp_extract_all(clean, '{PAGE_ARTICLE}', 1), '')
+    WHEN regexp_matches(clean, '{PAGE_BODY}') THEN regexp_extract(clean, '{PAGE_BODY}', 1) ELSE clean END AS body
+  FROM cleaned)"""
 
 _eligible = [
     (names[0], a, [t.lower() for t in topics])
@@ -333,6 +337,18 @@ oracle(
     UNION SELECT 'PMC' || doc_id FROM documents WHERE n_chars > 0 AND list_contains({_included}, 'PMC' || doc_id)""",
     PHRASES,
 )
+_names = str_list(sorted({a for _, names in inputs.DICTIONARY for a in names}))
+oracle(
+    "phrase_index_hits",
+    """SELECT alias, doc_id, (length(wide) - length(replace(wide, gap, ''))) // length(gap) AS n_hits,
+      length(front) - length(replace(front, ' ', '')) - 1 AS first_place
+    FROM (SELECT doc_id, alias, replace(body, ' ', '  ') AS wide, ' ' || replace(trim(phrase), ' ', '  ') || ' ' AS gap,
+        left(body, strpos(body, phrase)) AS front
+      FROM docs, sought WHERE contains(body, phrase))""",
+    f"""{PHRASES},
+    sought AS (SELECT alias, {phrase('alias')} AS phrase FROM
+      (SELECT text AS alias FROM benchmark UNION SELECT unnest({_names})) WHERE trim({phrase('alias')}) <> '')""",
+)
 oracle("normalise_metadata", "SELECT * FROM metadata", METADATA)
 oracle(
     "completeness_gate",
@@ -410,12 +426,13 @@ oracle(
 oracle("sentences", "SELECT * FROM sent", SENT)
 oracle(
     "extract_blocks_html",
-    f"""SELECT page_id, block_no, CASE tag WHEN 'h1' THEN 'title' ELSE 'paragraph' END AS kind,
-      CASE tag WHEN 'h1' THEN '# TITLE' || chr(10) ELSE '' END || t AS text
+    f"""SELECT page_id, block_no, CASE WHEN tag = 'h1' THEN 'title' WHEN tag = 'p' THEN 'paragraph' ELSE 'heading' END AS kind,
+      CASE WHEN tag = 'h1' THEN '# TITLE' || chr(10) WHEN tag = 'p' THEN '' ELSE repeat('#', tag[2]::INT) || ' ' END || t AS text
     FROM (SELECT page_id, block_no, split_part(piece, chr(2), 1) AS tag, {visible('split_part(piece, chr(2), 2)')} AS t
       FROM (SELECT page_id, unnest(p) AS piece, CAST(generate_subscripts(p, 1) - 1 AS INT) AS block_no
-        FROM (SELECT page_id, string_split({_marked}, chr(1)) AS p FROM pages)))
+        FROM (SELECT page_id, string_split({_marked}, chr(1)) AS p FROM bodies)))
     WHERE block_no > 0 AND t <> ''""",
+    PAGES,
 )
 _item = f"regexp_replace(piece, '{PAGE_ITEM_END}', '')"
 oracle(
@@ -579,6 +596,12 @@ oracle(
     FROM scored GROUP BY doc_id""",
     SCORED,
 )
+oracle(
+    "mention_sketches",
+    """SELECT resource_name, count(*) AS mentions, count(DISTINCT doc_id) AS articles, TRUE AS within_error
+    FROM scored GROUP BY resource_name""",
+    SCORED,
+)
 _v = catalogue.VERSION
 oracle(
     "fact_mentions",
@@ -638,6 +661,11 @@ oracle(
 # --- streams: the end state equals the batch result ---
 
 oracle("first_seen_stream", "SELECT DISTINCT 'PMC' || user_id AS pmcid FROM events")
+oracle(
+    "first_record_stream",
+    """SELECT 'PMC' || user_id AS pmcid, event_id, event_type FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
+)
 oracle("mentions_stream", "SELECT doc_id, sent_no, resource_name, alias FROM mentions", DEDUP)
 oracle("counts_stream", "SELECT * FROM spec", SCORED, SPECIFICITY)
 

@@ -30,6 +30,36 @@ def first_seen_stream(
     return thinned.drop("_salt").dropDuplicatesWithinWatermark(["pmcid"])
 
 
+def first_record_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The first record of each article over the whole stream: ``records`` with ``pmcid, seen_at,
+    event_id`` and others, by time and then by event.
+
+    One stateful operator keeps the earliest record of each article, one row of state; a batch
+    is reduced in its tasks before it meets the state, so a common id sends a row per task. A
+    batch writes the articles whose first record it changed or confirmed, and replaces its own
+    folder when it runs again; :func:`first_records` reads the latest. However late or often a
+    record comes, the end is that of the batch job. Rows without ``pmcid`` are left out.
+    """
+    rest = [c for c in records.columns if c not in ("pmcid", "seen_at", "event_id")]
+    first = F.min(F.struct("seen_at", "event_id", *rest)).alias("first")
+    state = records.where("pmcid is not null and seen_at is not null").groupBy("pmcid").agg(first)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        batch.select("pmcid", "first.*").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        state.writeStream.outputMode("update").foreachBatch(work)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def first_records(spark: SparkSession, path: str) -> DataFrame:
+    """The first record of each article as of the last batch."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in ("pmcid", "batch")]
+    return rows.groupBy("pmcid").agg(F.min(F.struct(*rest)).alias("first")).select("pmcid", "first.*")
+
+
 def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
         rows.writeStream.format("parquet")
