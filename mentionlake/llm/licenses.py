@@ -30,7 +30,7 @@ FAMILIES = (
     ("epl", "eclipse public|epl", "eclipse|epl", "1 0|2 0"),
     ("cddl", "common development and distribution|cddl", "common|cddl", "1 0|1 1"),
     ("eupl", "european union public|eupl", "union|eupl", "1 1|1 2"),
-    ("bsd", "bsd|2 clause bsd|3 clause bsd|simplified bsd|new bsd|modified bsd", "bsd", ""),
+    ("bsd", "bsd|simplified bsd|new bsd|modified bsd|revised bsd|original bsd", "bsd", ""),
     ("isc", "isc", "isc", ""),
     ("zlib", "zlib|zlib libpng", "zlib", ""),
     ("boost", "boost software", "boost", "1 0"),
@@ -58,18 +58,53 @@ CC_NAMES = (
     "attribution", "attribution share ?alike", "attribution non ?commercial", "attribution no derivatives",
     "attribution non ?commercial share ?alike", "attribution non ?commercial no derivatives",
 )
-# Wordings that are no named license.
-NOTICES = (
-    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "domain", 0.9),
+# Sentences of license texts and file headers, tags in other word orders, and
+# notices that name no license, each as label, pattern, keyword and score.
+SIGNATURES = (
+    ("mit", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense", "sublicense", 1.0),
+    ("mit-0", r"mit 0", "mit", 0.9),
+    ("apache-2.0", r"you may not use this file except in compliance with the licen[cs]e", "compliance", 0.9),
+    ("apache-2.0", r"(?:http|https) www apache org licen[cs]es licen[cs]e 2 0", "apache", 1.0),
+    ("gpl", r"redistribute it and or modify it under the terms of the gnu general public licen[cs]e as published by the free software foundation", "redistribute", 1.0),
+    ("gpl", r"(?:http|https) (?:www )?gnu org licen[cs]es gpl", "gnu", 0.9),
+    ("lgpl", r"redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation", "redistribute", 1.0),
+    ("agpl", r"redistribute it and or modify it under the terms of the gnu affero general public licen[cs]e as published by the free software foundation", "redistribute", 1.0),
+    ("copyleft", r"everyone is permitted to copy and distribute verbatim copies of this licen[cs]e document", "verbatim", 0.8),
+    ("bsd-0-clause", r"(?:bsd (?:0|zero) clause|(?:0|zero) clause bsd|0bsd)", "clause|0bsd", 0.9),
+    ("bsd-2-clause", r"(?:bsd (?:2|two) clause|(?:2|two) clause bsd|freebsd licen[cs]e)", "clause|freebsd", 0.9),
+    ("bsd-3-clause", r"(?:bsd (?:3|three) clause|(?:3|three) clause bsd)", "clause", 0.9),
+    ("bsd-4-clause", r"(?:bsd (?:4|four) clause|(?:4|four) clause bsd)", "clause", 0.9),
+    ("bsd-3-clause", r"neither the names? of (?:[^ ]+ ){1,12}nor the names of (?:its|their|other|any) contributors may be used to endorse or promote products", "endorse", 1.0),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising", 1.0),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted provided that", "redistribution", 0.9),
+    ("isc", r"permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted", "fee", 1.0),
+    ("zlib", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software", "misrepresented", 1.0),
+    ("boost", r"any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[cs]e", "organization", 1.0),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 1.0),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public licen[cs]e", "mozilla", 1.0),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public licen[cs]e version 1 1", "mozilla", 1.0),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e", "eclipse", 1.0),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", "intent", 0.9),
+    ("ofl", r"this font software is licensed under the sil open font licen[cs]e", "font", 1.0),
+    ("python", r"psf is making python available to licensee on an as is basis", "psf", 1.0),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution licen[cs]e", "common", 1.0),
+    ("openssl", r"this product includes software developed by the openssl project", "openssl", 0.9),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee", "fee", 0.9),
     ("cc0", r"(?:cc0|cc zero)(?: 1 0)?(?: universal)?", "cc0|zero", 0.9),
+    ("cc", r"(?:http|https) creativecommons org licen[cs]es", "creativecommons", 0.8),
+    ("public-domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", "domain", 0.9),
+    ("public-domain", r"(?:is|are) in the public domain", "domain", 0.7),
     ("proprietary", r"all rights reserved", "reserved", 0.6),
     ("proprietary", r"proprietary and confidential", "proprietary", 0.9),
+    ("proprietary", r"unauthorized copying of this file", "unauthorized", 0.9),
     ("permissive", r"permission is hereby granted free of charge", "permission", 0.9),
     ("permissive", r"redistribution and use in source and binary forms", "redistribution", 0.9),
     ("permissive", r"permission to use copy modify and (?:or )?distribute this software", "permission", 0.9),
     ("warranty", r"(?:provided )?as is without warranty of any kind", "warranty", 0.5),
+    ("warranty", r"in the hope that it will be useful but without any warranty", "warranty", 0.5),
     ("copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*", "copyright", 0.4),
 )
+LATER = r"(?: or (?:any )?later(?: version)?| only)?"
 
 
 class Rule(NamedTuple):
@@ -95,9 +130,19 @@ def rules() -> tuple[Rule, ...]:
             found.append((1, label, keyword, f"{leads} {name}{tail}", 0.9))
             found.append((4, label, keyword, f"spdx licen[cs]e identifier {name}", 1.0))
             found.append((5, label, keyword, rf"{name} licen[cs]e", 0.8))
-            for version in filter(None, versions.split("|")):
-                found.append((0, f"{label}-{version.replace(' ', '.')}", keyword, rf"(?:{leads} )?{name}(?: licen[cs]e)?(?: version| v)? {version}(?: or (?:any )?later(?: version)?)?", 1.0))
-                found.append((0, f"{label}-{version.replace(' ', '.')}", keyword, rf"spdx licen[cs]e identifier {name} {version}(?: only| or later)?", 1.0))
+            found.append((5, label, keyword, rf"licen[cs]e(?:d)?(?: is)? {name}", 0.8))
+            known = [v for v in versions.split("|") if v]
+            majors = [v.split()[0] for v in known]
+            for version, major in zip(known, majors, strict=True):
+                tag = f"{label}-{version.replace(' ', '.')}"
+                found.append((0, tag, keyword, rf"(?:{leads} )?{name}(?: licen[cs]e)?(?: version| v)? v?{version}{LATER}", 1.0))
+                found.append((0, tag, keyword, rf"spdx licen[cs]e identifier {name} {version}{LATER}", 1.0))
+                if " " not in name:  # written in one word, the minor number left out where no other has that major one
+                    minor = version[len(major) :]
+                    minor = f"(?:{minor})?" if minor and majors.count(major) == 1 else minor
+                    # A name with a bare number may be a program (apache2); one that ends in L is a license.
+                    for word in (f"{name}v{major}", f"{name}{major}")[: 1 + name.endswith("l")]:
+                        found.append((0, tag, word, rf"(?:{leads} )?{word}{minor}{LATER}", 1.0))
     for element, name in zip(CC_ELEMENTS, CC_NAMES, strict=True):
         label = "cc-" + element.replace(" ", "-")
         for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
@@ -106,7 +151,7 @@ def rules() -> tuple[Rule, ...]:
             found.append((0, tag, "commons", rf"(?:{leads} )?(?:a )?creative commons {name}(?: licen[cs]e)? {version}(?: international| unported)?", 1.0))
         found.append((2, label, "cc", rf"(?:{leads} )?(?:a )?cc {element}", 0.9))
         found.append((2, label, "commons", rf"(?:{leads} )?(?:a )?creative commons {name}", 0.9))
-    found += [(3, label, k, pattern, score) for label, pattern, ks, score in NOTICES for k in ks.split("|")]
+    found += [(3, label, k, pattern, score) for label, pattern, ks, score in SIGNATURES for k in ks.split("|")]
     ordered = sorted(dict.fromkeys(found), key=lambda r: (r[0], -len(r[3].split()), r[1], r[3], r[2]))
     return tuple(Rule(i, label, keyword, f"(?<= ){pattern}(?= )", score) for i, (_, label, keyword, pattern, score) in enumerate(ordered))
 
@@ -124,17 +169,23 @@ def _places(norm: Column, pattern: Column) -> Column:
     space before each word and one at the end; a match starts at a word."""
 
     def spans(pieces: Column) -> Column:
-        matches = F.regexp_extract_all(norm, pattern, F.lit(0))
-        return _bound(matches, lambda m: F.transform(m, lambda found, i: _span(pieces, m, found, i)))
+        return _bound(F.regexp_extract_all(norm, pattern, F.lit(0)), lambda m: _running(pieces, m))
 
     return _bound(F.split(norm, pattern, F.lit(-1)), spans)
 
 
-def _span(pieces: Column, matches: Column, found: Column, i: Column) -> Column:
-    before = F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, p: a + _spaces(p))
-    inside = F.aggregate(F.slice(matches, F.lit(1), i), F.lit(0), lambda a, p: a + _spaces(p))
-    start = before + inside - 1
-    return F.struct(start.alias("s"), (start + 1 + _spaces(found)).alias("e"))
+def _running(pieces: Column, matches: Column) -> Column:
+    """The words that each match covers, from one running count over what stands between
+    the matches and the matches themselves."""
+    steps = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(_spaces(p).alias("p"), _spaces(m).alias("m")))
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        s = acc["n"] + x["p"] - 1
+        found = F.struct(s.alias("s"), (s + 1 + x["m"]).alias("e"))
+        return F.struct((acc["n"] + x["p"] + x["m"]).alias("n"), F.array_append(acc["out"], found).alias("out"))
+
+    return F.aggregate(steps, start, step)["out"]
 
 
 def _rule_table() -> Column:
@@ -186,10 +237,23 @@ def detections(docs: DataFrame, name: str) -> DataFrame:
 
 
 def _surviving(hits: Column) -> Column:
-    """Hits that lie in no hit of an earlier rule, in order of place."""
-    beaten = lambda h: F.exists(hits, lambda g: (g["place"] < h["place"]) & (g["s"] <= h["s"]) & (g["e"] >= h["e"]))
-    kept = F.filter(hits, lambda h: ~beaten(h))
-    return F.sort_array(kept)
+    """Hits that lie in no hit of an earlier rule, in order of place. One pass by start, the
+    longest first, holds the hits that are still open: what contains a hit comes before it."""
+    row = "struct<s:int,back:int,place:int,e:int,label:string,score:double>"
+    ordered = F.sort_array(F.transform(hits, lambda h: F.struct(
+        h["s"].alias("s"), (-h["e"]).alias("back"), h["place"].alias("place"), h["e"].alias("e"), h["label"].alias("label"), h["score"].alias("score")
+    )))
+    none = F.array().cast(f"array<{row}>")
+
+    def step(acc: Column, h: Column) -> Column:
+        beaten = F.exists(acc["open"], lambda g: (g["place"] < h["place"]) & (g["e"] >= h["e"]))
+        still = F.filter(acc["open"], lambda g: g["e"] > h["s"])
+        return F.struct(F.array_append(still, h).alias("open"), F.when(beaten, acc["kept"]).otherwise(F.array_append(acc["kept"], h)).alias("kept"))
+
+    kept = F.aggregate(ordered, F.struct(none.alias("open"), none.alias("kept")), step)["kept"]
+    return F.sort_array(F.transform(kept, lambda h: F.struct(
+        h["place"].alias("place"), h["label"].alias("label"), h["score"].alias("score"), h["s"].alias("s"), h["e"].alias("e")
+    )))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
