@@ -61,7 +61,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.replaced(table(spark, sf_dir, "documents"), "production key")
+    key = spark.conf.get("spark.mentionlake.surrogateKey", "production key")
+    return surrogates.replaced(table(spark, sf_dir, "documents"), key)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates that keep type, format, script and gender.
 
-The surrogate of an entity depends on the key and the entity alone, so one person or
-number gets one surrogate wherever it occurs. Two entities that would share one, or a
+The surrogate of an entity depends on the key and the entity alone, so one name or number
+gets one surrogate wherever it occurs, however it is spelt; family and given names are
+entities of their own. Persons are found behind a title. Two entities that would share one, or a
 surrogate that is itself an entity of the corpus, are told apart by further attempts
 until none is left; only the entities on a later attempt are ever joined back.
 """
@@ -37,7 +38,18 @@ FAMILY = {
     "cyrillic": "Иванов Петров Соколов Волков Зайцев Орлов Киселёв Фомин".split(),
     "greek": "Παππάς Νικολάου Γεωργίου Δημητρίου Ιωάννου Βασιλείου".split(),
 }
-TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f"}
+#: Titles and their gender; ``n`` where the title has none.
+TITLES = {
+    "Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Mister": "m", "Sir": "m", "Dr": "n", "Prof": "n", "Professor": "n", "Doctor": "n",
+    "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f",
+    "Signor": "m", "Signora": "f", "Senhor": "m", "Senhora": "f",
+    "господин": "m", "Господин": "m", "госпожа": "f", "Госпожа": "f", "г-н": "m", "Г-н": "m", "г-жа": "f", "Г-жа": "f", "доктор": "n", "профессор": "n",
+    "κύριος": "m", "Κύριος": "m", "κυρία": "f", "Κυρία": "f", "δρ": "n", "Δρ": "n", "κος": "m", "κα": "f",
+}
+#: International calling codes of one and two digits; all others have three.
+CALLING_CODES = {"1", "7"} | set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 _NAME = r"[^\W\d_]+(?:-[^\W\d_]+)?"
 #: Kinds in order of precedence where detections overlap.
 PATTERNS = (
@@ -48,10 +60,10 @@ PATTERNS = (
     ("card", r"(?<![\d+.-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]*\d)"),
     ("phone", r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?![\w-]*\d)|(?<![\w+.-])\+?\d{9,12}(?!\w)"),
-    ("person", rf"\b(?:{'|'.join(TITLES)})\.? {_NAME}(?: {_NAME})?"),
+    ("person", rf"\b(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? {_NAME}(?: {_NAME})?"),
 )
 _FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS))
-_HINT = re.compile(r"[0-9@]|" + r"\b(?:" + "|".join(TITLES) + r")\b")
+_HINT = re.compile(r"[0-9@]|" + r"\b(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b")
 
 
 def luhn(digits: str) -> bool:
@@ -59,13 +71,18 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _capital(word: str) -> bool:
+    return word[0].isupper() or word[0].lower() == word[0].upper()
+
+
 def _accepted(kind: str, value: str) -> bool:
     digits = re.sub(r"\D", "", value)
     if kind == "phone":
         return 9 <= len(digits) <= 15 and not re.fullmatch(r"(?:19|20)\d\d[-. ]\d\d[-. ]\d\d.*", value)
     if kind == "person":
         parts = value.split(" ")[1:]
-        return all(p[0].isupper() for p in parts)
+        # A script without letter case has no capitals to ask for.
+        return all(_capital(p) for p in parts)
     return True
 
 
@@ -79,7 +96,7 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
         if kind == "person" and not _accepted(kind, value):
             title, _, rest = value.partition(" ")
             first = rest.split(" ")[0]
-            value = f"{title} {first}" if first[0].isupper() else ""
+            value = f"{title} {first}" if _capital(first) else ""
         elif kind == "phone":
             value = _phone(text, m)
         elif kind == "card" and not luhn(re.sub(r"\D", "", value)) and _inner(text, m) is not None:
@@ -133,13 +150,32 @@ def _phone(text: str, m: re.Match) -> str:
 
 
 def identity(kind: str, value: str) -> str:
-    """What makes two mentions the same entity: spelling without separators and case; a
-    person's name without the title."""
-    if kind == "person":
-        return value.partition(" ")[2]
+    """What makes two mentions the same entity: spelling without separators and case; the
+    names of a person as they are."""
     if kind == "email":
         return value.lower()
-    return value if kind in ("secret", "ip") else re.sub(r"[^0-9A-Za-z+]", "", value)
+    return value if kind in ("secret", "ip", "family", "given-m", "given-f") else re.sub(r"[^0-9A-Za-z+]", "", value)
+
+
+def parts(kind: str, value: str) -> list[tuple[str, str]]:
+    """The entities of one mention, ``kind, value``, each with a surrogate of its own. A
+    person has a family name and perhaps a given one, so that "Mr Alex Kim" and "Mr Kim"
+    keep one family name. A title without gender takes that of a given name in the lists, or
+    else one by the name's own characters, the same everywhere."""
+    if kind != "person":
+        return [(kind, value)]
+    title, *names = value.split(" ")
+    if len(names) == 1:
+        return [("family", names[0])]
+    return [(f"given-{_gender(title, names[0])}", names[0]), ("family", names[1])]
+
+
+def _gender(title: str, given: str) -> str:
+    gender = TITLES[title.rstrip(".")]
+    if gender != "n":
+        return gender
+    listed = {g for (g, _), names in GIVEN.items() if given in names}
+    return listed.pop() if len(listed) == 1 else "fm"[hashlib.sha256(given.encode()).digest()[0] % 2]
 
 
 class _Stream:
@@ -158,7 +194,30 @@ class _Stream:
 
 def _script(word: str) -> str:
     code = ord(word[0])
-    return "cyrillic" if 0x400 <= code < 0x530 else "greek" if 0x370 <= code < 0x400 or 0x1F00 <= code < 0x2000 else "latin"
+    if 0x400 <= code < 0x530:
+        return "cyrillic"
+    if 0x370 <= code < 0x400 or 0x1F00 <= code < 0x2000:
+        return "greek"
+    return "latin" if code < 0x250 or 0x1E00 <= code < 0x1F00 else "other"
+
+
+def _same_letters(word: str, stream: _Stream) -> str:
+    """Letters of the same row of the code table, of their case, for scripts without lists."""
+    out = []
+    for c in word:
+        row = [x for x in map(chr, range(ord(c) & ~63, (ord(c) & ~63) + 64)) if x.isalpha() and x.isupper() == c.isupper()]
+        out.append(row[stream.below(len(row))] if c.isalpha() else c)
+    return "".join(out)
+
+
+def _name(kind: str, word: str, stream: _Stream, attempt: int) -> str:
+    """A family or given name in the script of ``word``. Further attempts add names, so the
+    supply grows with the number of names to be told apart."""
+    script = _script(word)
+    if script == "other":
+        return "".join(_same_letters(word, stream) for _ in range(1 + attempt // 8))
+    names = FAMILY[script] if kind == "family" else GIVEN[kind[-1], script]
+    return "-".join(names[stream.below(len(names))] for _ in range(1 + attempt))
 
 
 def _same_shape(value: str, stream: _Stream) -> str:
@@ -183,11 +242,19 @@ def _respelled(value: str, plain: str) -> str:
     return "".join(next(letters) if c.isascii() and (c.isalnum() or c == "+") else c for c in value)
 
 
-def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The surrogate of one mention, a function of the entity; the mention's own
-    separators, title and letter case stay."""
+def surrogate(key: bytes, kind: str, value: str, attempts: dict[tuple[str, str], int] | None = None) -> str:
+    """The surrogate of one mention, a function of its entities and their ``attempts`` (0 where
+    not given); the mention's own separators and title stay."""
+    attempts = attempts or {}
+    new = [_surrogate(key, k, v, attempts.get((k, identity(k, v)), 0)) for k, v in parts(kind, value)]
+    return " ".join([value.split(" ")[0], *new]) if kind == "person" else new[0]
+
+
+def _surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     same = identity(kind, value)
     stream = _Stream(key, kind, same, attempt)
+    if kind == "family" or kind.startswith("given"):
+        return _name(kind, value, stream, attempt)
     if kind == "email":
         local, domain = same.split("@")
         out = f"{_same_shape(local, stream)}@{_same_shape(domain.split('.')[0], stream)}.example"
@@ -196,16 +263,6 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return ".".join(str(1 + stream.below(254)) for _ in range(4))
     if kind == "secret":
         return _same_shape(value, stream)
-    if kind == "person":
-        title, _, rest = value.partition(" ")
-        words, gender = rest.split(" "), TITLES[title.rstrip(".")]
-        script = _script(words[0])
-        family = FAMILY[script][stream.below(len(FAMILY[script]))]
-        # Further attempts draw from pairs of family names, so the supply grows.
-        for _ in range(attempt):
-            family += "-" + FAMILY[script][stream.below(len(FAMILY[script]))]
-        given = GIVEN[gender, script][stream.below(len(GIVEN[gender, script]))]
-        return f"{title} {given} {family}" if len(words) > 1 else f"{title} {family}"
     if kind == "card":
         body = same[0] + _same_shape(same[1:-1], stream)
         check = next(d for d in "0123456789" if luhn(body + d)) if luhn(same) else str(stream.below(10))
@@ -214,9 +271,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         body = _same_shape(same[4:], stream)
         number = int("".join(str(int(c, 36)) for c in body + same[:2] + "00"))
         return _respelled(value, f"{same[:2]}{98 - number % 97:02d}{body}")
-    keep = len(same) - len(same.lstrip("+"))
-    country = re.match(r"\+(\d{1,3})(?=[ .(-])", value)
-    keep = 1 + len(country[1]) if country else keep
+    # The country is read off the number itself, not its spelling.
+    keep = 0
+    if same.startswith("+"):
+        keep = 1 + next((n for n in (1, 2) if same[1 : 1 + n] in CALLING_CODES), 3)
     return _respelled(value, same[:keep] + _same_shape(same[keep:], stream))
 
 
@@ -225,8 +283,8 @@ def _found(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordB
         for piece in pieces(batch):
             rows = set()
             for text in piece.column("text").to_pylist():
-                rows.update((kind, identity(kind, value), value) for _, _, kind, value in entities(text or ""))
-            yield _pack([(k, s, v, identity(k, surrogate(key, k, v))) for k, s, v in sorted(rows)])
+                rows.update((k, identity(k, v), v) for _, _, kind, value in entities(text or "") for k, v in parts(kind, value))
+            yield _pack([(k, s, v, identity(k, _surrogate(key, k, v))) for k, s, v in sorted(rows)])
 
 
 def _pack(rows: list[tuple]) -> pa.RecordBatch:
@@ -237,7 +295,7 @@ def _pack(rows: list[tuple]) -> pa.RecordBatch:
 def _again(batches: Iterator[pa.RecordBatch], key: bytes, attempt: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = zip(*(batch.column(c).to_pylist() for c in ("kind", "entity", "value")), strict=True)
-        yield _pack([(k, s, v, identity(k, surrogate(key, k, v, attempt))) for k, s, v in rows])
+        yield _pack([(k, s, v, identity(k, _surrogate(key, k, v, attempt))) for k, s, v in rows])
 
 
 def assigned(docs: DataFrame, key: str) -> DataFrame:
@@ -270,7 +328,7 @@ def _mentioned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = [
                 (digest, kind, same)
                 for digest, text in zip(piece.column("digest").to_pylist(), piece.column("text").to_pylist(), strict=True)
-                for kind, same in sorted({(k, identity(k, v)) for _, _, k, v in entities(text or "")})
+                for kind, same in sorted({(k, identity(k, v)) for _, _, kind, value in entities(text or "") for k, v in parts(kind, value)})
             ]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays(
@@ -286,7 +344,7 @@ def _replaced(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.Reco
                 attempts = {(x["kind"], x["entity"]): x["attempt"] for x in later or []}
                 out, at, n = [], 0, 0
                 for start, end, kind, value in entities(text or ""):
-                    out += [text[at:start], surrogate(key, kind, value, attempts.get((kind, identity(kind, value)), 0))]
+                    out += [text[at:start], surrogate(key, kind, value, attempts)]
                     at, n = end, n + 1
                 counts.append(n)
                 texts.append(text if not n else "".join([*out, text[at:]]))
