@@ -24,7 +24,7 @@ def test_every_twin_has_a_query(spark):
     assert entry(spark).columns == ["doc_id", "resource_name", "alias", "match_count", "mean_confidence"]
 
 
-@pytest.mark.parametrize("name", ["mentions_dedup", "candidate_articles", "numeric_chunks", "block_labels", "range_join_bundles"])
+@pytest.mark.parametrize("name", ["mentions_dedup", "candidate_articles", "numeric_chunks", "block_labels", "range_join_bundles", "phrase_index_hits"])
 def test_no_cross_product(spark, name):
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
