@@ -78,3 +78,15 @@ def test_learnt_abbreviations_do_not_end_sentences(spark):
     none = learnt.where("false")
     assert [tuple(r) for r in split_learned(texts, none).orderBy("doc_id", "sent_no").collect()] == plain
     assert learn_abbreviations(texts.where("false")).collect() == [] and len(learn_abbreviations(texts, most=1).collect()) == 1
+
+
+def test_resources_that_share_an_alias_are_matched_as_one(spark, monkeypatch):
+    names = spark.createDataFrame([(i, ["red ring", "red ring"] if i % 2 else ["red ring", "U.S.A. ring", "Ring"]) for i in range(60)], "resource_id bigint, names array<string>")
+    aliases = dictionary.explode_aliases(names)
+    texts = spark.createDataFrame([(1, "A red ring here. Made in the USA ring or U.S.A ring."), (2, "No such. A RED\nRING."), (3, None)], "doc_id bigint, text string")
+    met, joined = [], anchors.salted_pairs
+    monkeypatch.setattr(detect, "salted_pairs", lambda rows, keys, left, patterns, salts: met.append(patterns.count()) or joined(rows, keys, left, patterns, salts))
+    pick = ["doc_id", "sent_no", "sentence", *detect.ALIAS_FIELDS]
+    small, large = (sorted(map(tuple, detect.match_aliases(split_sentences(texts), aliases, max_rows=n).select(*pick).collect())) for n in (10_000, 0))
+    assert small == large and len(small) > 180
+    assert met == [3]  # not one for each of 60 resources
