@@ -39,6 +39,11 @@ def dotted_word(token: Column) -> Column:
     return F.when(F.rlike(bare, F.lit(r"^\p{L}[\p{L}.-]*$")), bare).otherwise("")
 
 
+def _last_token(c: Column) -> Column:
+    """White space of any kind parts tokens; the last is in what follows the last plain space."""
+    return F.element_at(F.split(F.substring_index(c, " ", -1), f"{WS}+"), -1)
+
+
 def learn_abbreviations(
     texts: DataFrame, text: str = "text", min_score: float = MIN_SCORE, most: int = MOST_LEARNT
 ) -> DataFrame:
@@ -49,14 +54,19 @@ def learn_abbreviations(
     and that dots follow it as they follow any word. The log-likelihood ratio is weighed
     down for long words, raised for inner dots, and falls with every use without the dot.
     Words met before a line's end only are no evidence: the last token of a text counts
-    for nothing. Counts are summed before the shuffle, so common words cost no more.
+    for nothing. Equal stretches are counted first and taken apart once, not at each use.
     """
-    tokens = F.filter(F.split(strip(F.col(text)), f"{WS}+"), lambda t: t != "")
-    inner = F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0)))
-    rows = texts.select(F.explode_outer(inner).alias("token")).where("token is not null")
-    rows = rows.select(dotted_word(F.col("token")).alias("word"), F.rlike("token", F.lit(r"\.[\"')\]]*$")).alias("dot"))
+    flat = strip(F.col(text))
+    # What stands between plain spaces is counted first; the last token, behind a space, is taken off.
+    stretches = F.concat(F.split(flat, " "), F.array(F.concat(F.lit(" "), _last_token(flat))))
+    rows = texts.select(F.explode_outer(stretches).alias("stretch")).where("stretch is not null")
+    rows = rows.groupBy("stretch").agg(F.count("*").alias("n"))
+    uses = F.when(F.startswith("stretch", F.lit(" ")), -F.col("n")).otherwise(F.col("n")).alias("uses")
+    rows = rows.select(uses, F.explode_outer(F.split(F.ltrim("stretch"), f"{WS}+")).alias("token")).where("token <> ''")
+    dot = F.rlike("token", F.lit(r"\.[\"')\]]*$"))
+    rows = rows.select(dotted_word(F.col("token")).alias("word"), F.when(dot, F.col("uses")).otherwise(0).alias("dotted"), "uses")
     counts = rows.where("word <> ''").groupBy("word").agg(
-        F.count_if("dot").alias("dotted"), F.count_if(~F.col("dot")).alias("plain")
+        F.sum("dotted").alias("dotted"), F.sum(F.col("uses") - F.col("dotted")).alias("plain")
     )
     whole = counts.agg((F.sum("dotted") / (F.sum("dotted") + F.sum("plain"))).alias("share"))
     share = F.least(F.greatest(F.col("share"), F.lit(1e-9)), F.lit(1 - 1e-9))
@@ -76,19 +86,12 @@ def split_learned(texts: DataFrame, abbreviations: DataFrame, text: str = "text"
     by the last. The learnt words, a list of stated size, are one literal of the plan, so
     texts are cut where they are read."""
     words = [r["word"] for r in abbreviations.select("word").orderBy("word").collect()]
-    known = F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
 
     def runs_on(piece: Column) -> Column:
-        last = F.element_at(F.split(piece, f"{WS}+"), -1)
-        return F.rlike(last, F.lit(r"\.$")) & F.array_contains(known, dotted_word(last))
-
-    def joined(done: Column, piece: Column) -> Column:
-        n = F.size(done)
-        longer = F.concat(F.element_at(done, -1), F.lit(" "), piece)
-        open_end = (n > 0) & runs_on(F.element_at(F.when(n > 0, done).otherwise(F.array(F.lit(""))), -1))
-        return F.when(open_end, F.concat(F.slice(done, 1, F.greatest(n - 1, F.lit(0))), F.array(longer))).otherwise(
-            F.concat(done, F.array(piece))
-        )
-
-    pieces = F.aggregate(sentence_array(F.col(text)), F.array().cast("array<string>"), joined)
+        return F.when(F.endswith(piece, F.lit(".")), dotted_word(_last_token(piece)).isin(words)).otherwise(False)
+
+    # No piece holds a line break, so one may stand between sentences.
+    ended = F.transform(sentence_array(F.col(text)), lambda p: F.concat(p, F.when(runs_on(p), " ").otherwise("\n")))
+    whole = F.array_join(ended, "")
+    pieces = F.split(F.substring(whole, F.lit(1), F.length(whole) - 1), "\n")
     return texts.select(key, F.posexplode_outer(pieces).alias("sent_no", "sentence")).where(F.col("sentence") != "")

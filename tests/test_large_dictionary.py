@@ -90,3 +90,24 @@ def test_resources_that_share_an_alias_are_matched_as_one(spark, monkeypatch):
     small, large = (sorted(map(tuple, detect.match_aliases(split_sentences(texts), aliases, max_rows=n).select(*pick).collect())) for n in (10_000, 0))
     assert small == large and len(small) > 180
     assert met == [3]  # not one for each of 60 resources
+
+
+def test_tokens_are_counted_before_they_are_taken_apart(spark):
+    texts = spark.createDataFrame([(1, " a\tb. a b.  c.\n x. "), (2, "x."), (3, None), (4, " \n "), (5, "x. b c. x.")], "doc_id bigint, text string")
+    learnt = learn_abbreviations(texts, min_score=-1e9)
+    assert {(r["word"], r["dotted"], r["plain"]) for r in learnt.collect()} == {("b", 2, 1), ("c", 2, 0), ("x", 1, 0)}
+    plan = learnt._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    cleaned = max(i for i, line in enumerate(plan) if "regexp_replace" in line)
+    assert any("Aggregate" in line for line in plan[cleaned + 1 :])  # the deeper line runs first
+
+
+def test_learnt_sentences_are_joined_in_one_pass(spark):
+    told = spark.createDataFrame([("etc",), ("u.s",)], "word string")
+    rows = [(1, "We saw etc. And so.   In the U.S. All\nwell. Etc."), (2, None), (3, " "), (4, "etc. etc. etc."), (5, "So (etc.) he said. It. etc. Too!")]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = split_learned(texts, told)
+    assert [tuple(r) for r in found.orderBy("doc_id", "sent_no").collect()] == [
+        (1, 0, "We saw etc. And so."), (1, 1, "In the U.S. All well."), (1, 2, "Etc."),
+        (4, 0, "etc. etc. etc."), (5, 0, "So (etc.) he said."), (5, 1, "It."), (5, 2, "etc. Too!"),
+    ]
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
