@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mentionlake.llm.hashing import pieces
 from mentionlake.llm.stage import new_folder, staged
+from mentionlake.llm.token_files import WordEncoder
 
 LIMIT = 2048
 _CACHE = "digest binary, n_tokens bigint"
@@ -52,23 +52,21 @@ def content(text: Column, path: str) -> Column:
     return F.regexp_replace(text, "[\\x20\\t\\n\\r]+", " ") if joins_spaces(path) else text
 
 
-def counter(path: str) -> Callable[[list[str]], list[int]]:
-    """Counts tokens of whole texts with the library that the file is for."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+def counter(path: str) -> Callable[[pa.Array], list[int]]:
+    """Counts tokens of whole texts with the library that the file is for; where the file says
+    that words may be encoded by themselves, each distinct word of a batch is encoded once."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
-    from tokenizers import Tokenizer
+        return lambda texts: [len(ids) for ids in model.encode(texts.to_pylist(), num_threads=1)]
+    encode = WordEncoder(path)
+    encode.tokenizer.no_truncation()
+    encode.tokenizer.no_padding()
+    return encode.counts
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda texts: [len(e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-
-_counters: dict[str, Callable[[list[str]], list[int]]] = {}
+_counters: dict[str, Callable[[pa.Array], list[int]]] = {}
 
 
 def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -76,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBa
         _counters[path] = counter(path)
     for batch in batches:
         for piece in pieces(batch):
-            counts = _counters[path](piece.column("text").to_pylist())
+            counts = _counters[path](piece.column("text"))
             yield pa.RecordBatch.from_arrays([piece.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
 
 

@@ -108,6 +108,7 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = splits_at_spaces(path)
+        self.folds = self.by_word  # such a file lower-cases, so plain words may be lower-cased before
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.known: dict[bytes, bytes] = {}
@@ -131,13 +132,12 @@ class WordEncoder:
                 self.known[word.encode()] = data[at:end]
                 at = end
 
-    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        if not self.by_word:
-            plain = [t or "" for t in texts.to_pylist()]
-            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+    def _interned(self, texts: pa.Array | list) -> tuple[Table, np.ndarray, list[bytes], np.ndarray]:
+        """The units of a batch, the first unit of each row, the ids of each distinct one, and
+        how many ids the unit in each slot has."""
         if len(self.known) > REMEMBERED:
             self.known = {}
-        data, rows = text_bytes(texts)
+        data, rows = text_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
         data, starts, ends, kind, first = _units(data, rows)
         table = Table(padded(data), starts, ends - starts)
         words = table.keys()
@@ -145,9 +145,25 @@ class WordEncoder:
         self._encode_letters([w.decode() for w, k in new if k])
         self._encode_each([w.decode() for w, k in new if not k])
         found = [self.known[w] for w in words]
-        ids = np.frombuffer(b"".join(found), "<u4")
-        size, begin = np.zeros(table.size, np.int64), np.zeros(table.size, np.int64)
+        size = np.zeros(table.size, np.int64)
         size[table.used] = [len(f) // 4 for f in found]
+        return table, first, found, size
+
+    def counts(self, texts: pa.Array) -> list[int]:
+        """How many ids each text has."""
+        if not self.by_word:
+            return [len(ids) for ids in self(texts)]
+        table, first, _, size = self._interned(texts)
+        stops = np.concatenate([[0], np.cumsum(size[table.slot])])
+        return np.diff(stops[first]).tolist()
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        if not self.by_word:
+            plain = [t or "" for t in texts.to_pylist()]
+            return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+        table, first, found, size = self._interned(texts)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        begin = np.zeros(table.size, np.int64)
         begin[table.used] = np.cumsum(size[table.used]) - size[table.used]
         each = size[table.slot]
         stops = np.concatenate([[0], np.cumsum(each)])

@@ -145,6 +145,15 @@ def test_the_normal_form_keeps_the_count(text):
     assert plain_counts([text]) == plain_counts([re.sub("[ \t\n\r]+", " ", text)])
 
 
+def test_words_of_a_batch_are_encoded_once():
+    count = token_counts.counter(tokenizer())
+    texts = ["the cat, the CAT", None, "", "  cat the. <|endoftext|> İI'll"] * 50 + TEXTS
+    assert count(pa.array(texts, pa.string())) == plain_counts(texts)
+    count = token_counts.counter(tokenizer())
+    assert count(pa.array(["the cat, the CAT"] * 50)) == plain_counts(["the cat, the CAT"]) * 50
+    assert sorted(count.__self__.known) == [b",", b"cat", b"the"]
+
+
 def test_sentencepiece_files_count_too(spark, tmp_path):
     import public_tokenizers
     import sentencepiece
