@@ -21,6 +21,8 @@ WS_LIST = (
 # Dash-like characters an ASCII hyphen in an alias may stand for.
 DASH = r"[-\x{2010}\x{2011}\x{2012}\x{2013}\x{2014}\x{2212}]"
 
+_BREAK = f"(?<=[.!?]){WS}+"
+
 # The only characters outside ASCII whose lower case holds an ASCII letter.
 FOLDS_TO_ASCII = r"[\x{0130}\x{212A}]"
 
@@ -46,8 +48,16 @@ def sentence_array(text: Column) -> Column:
     """Sentences in order. A break is whitespace after ``.``, ``!`` or ``?``; line
     breaks inside a sentence become spaces, so a heading without a full stop stays
     with the sentence that follows it."""
-    flat = F.replace(strip(text), F.lit("\n"), F.lit(" "))
-    return F.split(flat, f"(?<=[.!?]){WS}+")
+    return F.split(_flat(text), _BREAK)
+
+
+def first_sentence(text: Column) -> Column:
+    """The first of :func:`sentence_array`; the text is not cut any further."""
+    return F.split(_flat(text), _BREAK, 2)[0]
+
+
+def _flat(text: Column) -> Column:
+    return F.replace(strip(text), F.lit("\n"), F.lit(" "))
 
 
 def letter_runs(c: Column) -> Column:

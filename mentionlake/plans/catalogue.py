@@ -146,11 +146,11 @@ def normalise_metadata(spark, sf):
     return inputs.metadata(spark, sf)
 
 
-def _gate(spark, sf):
+def _gate(spark, sf, metadata=None):
     wanted = inputs.table(spark, sf, "documents").select(
         id_functions.full_id(F.col("doc_id")).alias("pmcid")
     )
-    return articles.check_completeness(wanted, inputs.metadata(spark, sf))
+    return articles.check_completeness(wanted, inputs.metadata(spark, sf) if metadata is None else metadata)
 
 
 @query
@@ -508,11 +508,13 @@ def mention_counters(spark, sf):
 @query
 def mention_sketches(spark, sf):
     """Distinct articles of each resource, from sketches kept by chunk and merged."""
-    scored = inputs.scored(spark, sf).withColumn("chunk", F.col("doc_id") % CHUNKS)
-    path = f"{run_folder(spark, 'sketches')}/partials"
+    folder = run_folder(spark, "sketches")
+    inputs.scored(spark, sf).select("doc_id", "resource_name").write.parquet(f"{folder}/scored")
+    scored = spark.read.parquet(f"{folder}/scored").withColumn("chunk", F.col("doc_id") % CHUNKS)
+    path = f"{folder}/partials"
     rollup.sketch_counters(scored, ["chunk", "resource_name"]).write.parquet(path)
     merged = rollup.estimated_counters(rollup.merge_sketches(spark.read.parquet(path), ["resource_name"]))
-    exact = inputs.mentions(spark, sf).groupBy("resource_name").agg(F.count_distinct("doc_id").alias("articles"))
+    exact = scored.groupBy("resource_name").agg(F.count_distinct("doc_id").alias("articles"))
     near = F.abs(F.col("distinct_estimate") - F.col("articles")) <= 3 * rollup.sketch_error() * F.col("articles")
     return merged.join(exact, "resource_name").select("resource_name", "mentions", "articles", near.alias("within_error"))
 
@@ -535,12 +537,12 @@ def _stored_facts(spark, sf):
     """Facts of all articles as a table, and a stream of its files, one to a batch."""
     scored = inputs.scored(spark, sf).withColumn("pmcid", id_functions.full_id(F.col("doc_id")))
     summary = rollup.summarise(scored, ["pmcid", "resource_id", "resource_name", "alias"])
-    facts = rollup.mention_facts(summary, _gate(spark, sf)[0], VERSION)
     out = run_folder(spark, "fact-store")
-    facts.write.parquet(f"{out}/given")
     inputs.metadata(spark, sf).write.parquet(f"{out}/metadata")
-    stream = spark.readStream.schema(facts.schema).parquet(f"{out}/given")
     metadata = spark.read.parquet(f"{out}/metadata")
+    facts = rollup.mention_facts(summary, _gate(spark, sf, metadata)[0], VERSION)
+    facts.write.parquet(f"{out}/given")
+    stream = spark.readStream.schema(facts.schema).parquet(f"{out}/given")
     # The second stream knows nothing of the first and brings all facts again.
     for name in ("first", "again"):
         jobs.fact_store_stream(stream, f"{out}/store", f"{out}/state-{name}", metadata, name=name).awaitTermination()

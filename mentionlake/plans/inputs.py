@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionlake.functions.text import sentence_array
+from mentionlake.functions.text import first_sentence
 from mentionlake.operators.articles import normalise_metadata
 from mentionlake.operators.dictionary import explode_aliases
 from mentionlake.operators.detect import find_mentions
@@ -164,7 +164,7 @@ def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.lit("PMC"), k.cast("string")))
             .alias("pmcid"),
             (k * 3).cast("string").alias("pmid"),
-            F.when(k % 23 == 0, "").otherwise(sentence_array(F.col("text"))[0]).alias("title"),
+            F.when(k % 23 == 0, "").otherwise(first_sentence(F.col("text"))).alias("title"),
             F.concat(F.lit("2023-"), k.cast("string")).alias("firstPublicationDate"),
             F.when(k % 7 != 0, F.struct(printed.alias("printPublicationDate"))).alias("journalInfo"),
             F.when(k % 4 != 0, F.col("source")).alias("authorString"),
@@ -231,7 +231,7 @@ def article_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.replace(F.replace(out, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
-    first = esc(sentence_array(F.col("text"))[0])
+    first = esc(first_sentence(F.col("text")))
     parts = [
         F.lit('<article><front><article-meta><article-id pub-id-type="pmcid">PMC'),
         F.col("doc_id").cast("string"),

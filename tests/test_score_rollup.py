@@ -113,3 +113,22 @@ def test_missing_resource_ids(spark):
     found, missing = rollup.with_resource_ids(summary, lookup)
     assert [r.resource_id for r in found.collect()] == [7]
     assert [(r.resource_name, r.reason) for r in missing.collect()] == [("Z", "no resource id")]
+
+
+def test_the_first_sentence_is_that_of_all(spark):
+    from mentionlake.functions.text import first_sentence, sentence_array
+
+    texts = [None, "", " \n", "One. Two.", "a\nb! c", ". x", "no end", "U.S.  Then? So.", "\n x.\n\ny."]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(first_sentence(F.col("t")).alias("a"), sentence_array(F.col("t"))[0].alias("b"))
+    assert [r["a"] for r in rows.collect()] == [r["b"] for r in rows.collect()]
+
+
+def test_queries_do_their_common_steps_once(spark, monkeypatch):
+    from mentionlake.plans import catalogue, inputs
+
+    calls = []
+    for name in ("mentions", "metadata"):
+        monkeypatch.setattr(inputs, name, lambda *a, f=getattr(inputs, name), n=name: calls.append(n) or f(*a))
+    catalogue.mention_sketches(spark, "/root/testdata/sf0.001")
+    catalogue._stored_facts(spark, "/root/testdata/sf0.001")
+    assert sorted(calls) == ["mentions", "mentions", "metadata"]
