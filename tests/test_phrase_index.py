@@ -57,3 +57,15 @@ def test_an_empty_corpus_and_no_alias(spark, tmp_path):
     phrase_index.build_index(spark.createDataFrame([], "doc_id bigint, text string"), f"{tmp_path}/e", buckets=2)
     some = spark.createDataFrame([("the",)], "alias string")
     assert phrase_index.search_index(spark, f"{tmp_path}/e", some, buckets=2).isEmpty()
+
+
+def test_places_are_gathered_before_the_shuffle():
+    import pyarrow as pa
+
+    words = [["a", "b", "a"], [], ["b", "", "b", "c"], ["a"]] * 200
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(800)), "copy": [7] * 800, "words": words}).slice(1)
+    got = [tuple(r.values()) for out in phrase_index._gathered(iter([batch])) for r in out.to_pylist()]
+    want = [(w, i, 7, [k for k, x in enumerate(words[i]) if x == w]) for i in range(1, 800) for w in set(words[i])]
+    assert sorted(got) == sorted(want)
+    assert list(phrase_index._gathered(iter([batch.slice(0, 0)]))) == []
+    assert [r.num_rows for r in phrase_index._gathered(iter([batch.slice(0, 1)]))] == [0]
