@@ -524,8 +524,9 @@ def fact_mentions(spark, sf):
     """Facts of all articles; an earlier run had stored those of the first resources."""
     scored = inputs.scored(spark, sf).withColumn("pmcid", id_functions.full_id(F.col("doc_id")))
     summary = rollup.summarise(scored, ["pmcid", "resource_id", "resource_name", "alias"])
-    facts = rollup.mention_facts(summary, _gate(spark, sf)[0], VERSION)
     out = run_folder(spark, "facts")
+    inputs.metadata(spark, sf).write.parquet(f"{out}/metadata")
+    facts = rollup.mention_facts(summary, _gate(spark, sf, spark.read.parquet(f"{out}/metadata"))[0], VERSION)
     facts.write.parquet(f"{out}/staged")
     facts = spark.read.parquet(f"{out}/staged")
     writers.append_facts(facts.where(F.col("resource_id") <= 4), f"{out}/rows")
