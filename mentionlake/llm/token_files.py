@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 import zlib
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from mentionlake.functions.vocabularies import splits_at_spaces
 from mentionlake.llm import pfor
 from mentionlake.llm.hashing import pieces, text_bytes, word_spans
 from mentionlake.llm.ngram_table import Table, padded
@@ -27,10 +27,6 @@ END_ID = 2
 REMEMBERED = 1_500_000
 #: What one task reads back.
 TASK_TOKENS = 32 << 20
-# What a tokenizer's file must say for its texts to be encoded word by word; fixed values of
-# the public vocabulary file.
-_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
-_PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
 #: Punctuation that parts from the letters before it: every byte of it is one character.
 _PUNCTUATION = np.zeros(256, dtype=bool)
 _PUNCTUATION[list(b".,!|:;?$%&*#")] = True
@@ -75,23 +71,6 @@ def _units(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return data + raised.astype(np.uint8) * np.uint8(32), units, stops, (plain[word] & letter[units]).astype(np.int64), np.searchsorted(units, rows)
 
 
-def splits_at_spaces(path: str) -> bool:
-    """Whether the tokenizer's own file describes a pipeline in which no token, and no step
-    before the tokens, reaches across ASCII white space."""
-    with open(path, encoding="utf-8") as file:
-        described = json.load(file)
-    steps = (described.get("normalizer") or {}).get("normalizers")
-    cuts = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-    model, added = described["model"], [t["content"] for t in described.get("added_tokens", [])]
-    return (
-        steps == _NORMALIZERS and cuts[0].get("type") == "Split" and cuts[0].get("pattern") == _PATTERN
-        and (cuts[0].get("behavior"), cuts[0].get("invert")) == ("Removed", True) and cuts[1:2] != []
-        and cuts[1].get("type") == "ByteLevel" and not cuts[1].get("add_prefix_space") and len(cuts) == 2
-        and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
-        and not any(c.isspace() for a in added for c in a) and not any(described.get(k) for k in ("truncation", "padding"))
-    )
-
-
 class WordEncoder:
     """Ids of texts, each distinct word of a batch encoded once.
 

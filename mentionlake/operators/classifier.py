@@ -9,6 +9,7 @@ from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from mentionlake.operators.score import model_input, with_probability
 
@@ -26,11 +27,14 @@ def train_classifier(
 ) -> PipelineModel:
     """Fits ``text, alias, label``: the alias and the whole text as one model input, its
     words hashed to ``features`` places and weighed by how few examples hold them, then
-    a ridge logistic regression. Gradients are summed in the tasks; the driver holds one
+    a ridge logistic regression. Texts are cut into words once: their counts wait on disk for
+    the passes that weigh and fit. Gradients are summed in the tasks; the driver holds one
     number per feature. Nothing in it is drawn at random. Examples without label are left out."""
-    stages = [
+    counting = [
         RegexTokenizer(inputCol="_input", outputCol="_words", pattern="[^\\p{L}\\p{N}]+", minTokenLength=1),
         HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
+    ]
+    fitting = [
         IDF(inputCol="_counts", outputCol="_weighed"),
         LogisticRegression(
             featuresCol="_weighed", labelCol="_label", probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_predicted",
@@ -38,7 +42,12 @@ def train_classifier(
         ),
     ]
     rows = _input(examples.where("label is not null"), "text").select("_input", F.col("label").cast("double").alias("_label"))
-    return Pipeline(stages=stages).fit(rows)
+    counts = PipelineModel(counting).transform(rows).select("_counts", "_label").persist(StorageLevel.DISK_ONLY)
+    try:
+        fitted = Pipeline(stages=fitting).fit(counts)
+    finally:
+        counts.unpersist()
+    return PipelineModel([*counting, *fitted.stages])
 
 
 def save_classifier(model: PipelineModel, path: str) -> None:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from mentionlake.operators import classifier
 
@@ -43,6 +44,19 @@ def test_the_classifier_equals_a_plain_fit(spark):
     assert ((got > 0.5) == (y > 0.5)).mean() > 0.85
 
 
+def test_training_reads_its_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        read.add(1)
+        return text
+
+    rows = rows_of(spark).where("text is not null and label is not null").localCheckpoint()
+    classifier.train_classifier(rows.withColumn("text", noted.asNondeterministic()("text")), features=64, rounds=5)
+    assert read.value == rows.count()
+
+
 def test_a_stored_classifier_scores_alike(spark, tmp_path):
     rows = rows_of(spark)
     model = classifier.train_classifier(rows, features=512)

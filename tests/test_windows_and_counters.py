@@ -32,6 +32,51 @@ def test_windows_hold_every_subword_once_more_where_they_overlap(spark, length,
             assert all(r["window"] in (t or "") for r in cut)
 
 
+class Counted:
+    """A tokenizer that notes what it encodes and how often the ids of a text are copied."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts, self.copies = tokenizer, [], 0
+
+    def _noted(self, text, found):
+        self.texts.append(text)
+        noted = self
+
+        class Found:
+            token_to_chars = found.token_to_chars
+
+            @property
+            def ids(self):
+                noted.copies += 1
+                return found.ids
+
+        return Found()
+
+    def encode(self, text, **options):
+        return self._noted(text, self.tokenizer.encode(text, **options))
+
+    def encode_batch(self, texts, **options):
+        return [self._noted(t, f) for t, f in zip(texts, self.tokenizer.encode_batch(texts, **options), strict=True)]
+
+
+def test_a_long_text_is_encoded_and_copied_once_whatever_its_windows():
+    with open(FILE, encoding="utf-8") as file:
+        spec = file.read()
+    text = "the quick brown\u00a0fox, nai\u0308ve \u0301\u03a9mega we'll <|endoftext|> \x0b\u3000 \u6f22\u5b57\t\n" * 300 + "x1y2" * 2000
+    whole, by_word = subwords.SubwordEncoder(spec, False), subwords.SubwordEncoder(spec, True)
+    plain = whole.tokenizer.encode(text, add_special_tokens=False)
+    for encode in (whole, by_word):
+        encode.tokenizer = Counted(encode.tokenizer)
+        cut = subwords.windows_of(encode, "", text, 16, 4)
+        assert len(cut) == -(-(len(plain.ids) - 16) // 12) + 1
+        for k, ids, window in cut:
+            places = plain.offsets[k * 12 : k * 12 + 16] if k in (0, 50, len(cut) - 1) else None
+            assert list(ids) == plain.ids[k * 12 : k * 12 + 16] if places else len(ids)
+            assert places is None or window == text[places[0][0] : places[-1][1]]
+    assert whole.tokenizer.texts == ["", text] and whole.tokenizer.copies == 2
+    assert len(by_word.tokenizer.texts) < 30 and by_word.tokenizer.copies <= len(set(by_word.tokenizer.texts))
+
+
 def test_windows_refuse_columns_of_their_own_names(spark):
     with pytest.raises(ValueError, match="ids"):
         subwords.subword_windows(spark.createDataFrame([("t", "a", 1)], "text string, alias string, ids int"), FILE)
