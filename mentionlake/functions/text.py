@@ -52,8 +52,8 @@ def sentence_array(text: Column) -> Column:
 
 
 def first_sentence(text: Column) -> Column:
-    """The first of :func:`sentence_array`; the text is not cut any further."""
-    return F.split(_flat(text), _BREAK, 2)[0]
+    """The first of :func:`sentence_array`; the text behind it is neither cut nor copied."""
+    return _flat(F.regexp_extract(text, f"(?s)^{WS}*+(.*?[.!?](?={WS})|.*)", 1))
 
 
 def _flat(text: Column) -> Column:

@@ -175,14 +175,15 @@ def check_completeness(ids: DataFrame, metadata: DataFrame) -> tuple[DataFrame,
     return passed, rows.where(F.col("reason").isNotNull()).select("pmcid", "reason")
 
 
-def parse_file_names(names: DataFrame, name: str = "name") -> DataFrame:
-    """Chunk number (as text) of id lists, id range of bundles; null where not one."""
+def parse_file_names(names: DataFrame, name: str = "name", keep: Sequence[str] = ()) -> DataFrame:
+    """Chunk number (as text) of id lists, id range of bundles; null where not one. Columns
+    to ``keep`` follow."""
     c = F.col(name)
     chunk = F.nullif(F.regexp_extract(c, CHUNK_NAME, 1), F.lit(""))
     start = F.regexp_extract(c, BUNDLE_NAME, 1).try_cast("bigint")
     end = F.regexp_extract(c, BUNDLE_NAME, 2).try_cast("bigint")
     return names.select(
-        name, chunk.alias("chunk"), start.alias("start_id"), end.alias("end_id")
+        name, chunk.alias("chunk"), start.alias("start_id"), end.alias("end_id"), *keep
     )
 
 

@@ -67,11 +67,11 @@ def read_article_bundles(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("lineSep", ARTICLE_END).text(path)
     start = F.regexp_extract("value", r"(?s)(<article[\s>].*)$", 1)
     number = F.regexp_extract("value", ARTICLE_ID, 1)
-    return rows.select(
+    return rows.where(F.rlike("value", F.lit(r"<article[\s>]"))).select(
         F.concat(F.lit("PMC"), number).alias("pmcid"),
         F.concat(start, F.lit(ARTICLE_END)).alias("xml"),
         F.col("_metadata.file_name").alias("bundle"),
-    ).where((F.col("pmcid") != "PMC") & (F.col("xml") != ARTICLE_END))
+    ).where(F.col("pmcid") != "PMC")
 
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:

@@ -54,6 +54,41 @@ def test_the_listing_reads_names_only(spark, folder):
     assert len(listed) == 11 and listed["PMC40_PMC59.xml"] == (40, 59) and "notes.xml.gz" not in listed
 
 
+def test_bundles_compute_each_text_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text_of(i):
+        made.add(1)
+        return None if i % 4 == 0 else XML.format(i)
+
+    rows = spark.range(40).localCheckpoint().select(
+        F.concat(F.lit("PMC"), "id").alias("pmcid"), text_of("id").alias("xml"),
+        F.when(F.col("id") == 4, "PMC4_PMC4.xml").otherwise("PMC0_PMC39.xml.gz").alias("bundle"),
+    )
+    assert pruned.write_bundles(rows, f"{tmp_path}/once") == 1 and os.listdir(f"{tmp_path}/once") == ["PMC0_PMC39.xml.gz"]
+    assert made.value == 40
+    with gzip.open(f"{tmp_path}/once/PMC0_PMC39.xml.gz", "rt") as file:
+        assert file.read() == "".join(XML.format(i) + "\n" for i in range(40) if i % 4)
+
+
+def test_many_picked_files_are_looked_up_by_few_tasks(spark, tmp_path):
+    rows = [(f"PMC{i}", XML.format(i), f"PMC{i}_PMC{i}.xml") for i in range(60)]
+    pruned.write_bundles(spark.createDataFrame(rows, "pmcid string, xml string, bundle string"), f"{tmp_path}/many")
+    context, before = spark.sparkContext, spark.conf.get(pruned.DISCOVERY)
+    context.setJobGroup("many files", "")
+    try:
+        read = pruned.read_wanted_articles(spark, f"{tmp_path}/many", ids(spark, *(f"PMC{i}" for i in range(50))), width=16)
+        tracker = context.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("many files") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    looked = [s.numTasks for s in stages if s and s.name.startswith("text at")]
+    assert looked and max(looked) <= 2 * context.defaultParallelism < 50
+    assert spark.conf.get(pruned.DISCOVERY) == before
+    assert read.count() == 50
+
+
 def test_metadata_is_looked_up_in_its_shards_only(spark, tmp_path):
     fields = pruned.STORED_METADATA.split(", ")
     rows = spark.range(500).select(*(
