@@ -6,12 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionlake.functions.text import WS, sentence_array, strip
+from mentionlake.operators.anchors import anchor_filter
+from mentionlake.operators.sizing import broadcast_if_small
+from mentionlake.session import run_folder
 
-#: An abbreviation's least score, the share of its uses that end in a dot if it is one, and
-#: the most that a learnt list holds, the best first.
+#: An abbreviation's least score, and the share of its uses that end in a dot if it is one.
 MIN_SCORE = 0.3
 DOTTED_SHARE = 0.99
-MOST_LEARNT = 5_000
+#: Learnt words that are one literal of the plan; a longer list is joined.
+MOST_IN_PLAN = 5_000
 
 
 def split_sentences(texts: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -45,9 +48,10 @@ def _last_token(c: Column) -> Column:
 
 
 def learn_abbreviations(
-    texts: DataFrame, text: str = "text", min_score: float = MIN_SCORE, most: int = MOST_LEARNT
+    texts: DataFrame, text: str = "text", min_score: float = MIN_SCORE, most: int | None = None
 ) -> DataFrame:
-    """``word, dotted, plain, score``: words that nearly always carry a dot.
+    """``word, dotted, plain, score``: words that nearly always carry a dot, all of them or,
+    only when asked, the ``most`` best.
 
     No labels are needed. A word's uses with and without a dot behind it are compared under
     two hypotheses, that it is an abbreviation (``DOTTED_SHARE`` of its uses end in a dot)
@@ -75,23 +79,44 @@ def learn_abbreviations(
     letters = F.length(F.replace("word", F.lit(".")))
     inner_dots = F.length("word") - letters
     score = ratio * F.exp(-letters.cast("double")) * (inner_dots + 1) * F.exp(-u)
-    # One row meets the counts; the list that comes out is cut to a stated size.
+    # One row meets the counts.
     scored = counts.where("dotted > 0").join(F.broadcast(whole)).select("word", "dotted", "plain", F.round(score, 6).alias("score"))
-    return scored.where(F.col("score") >= min_score).orderBy(F.desc("score"), "word").limit(most)
+    found = scored.where(F.col("score") >= min_score)
+    return found if most is None else found.orderBy(F.desc("score"), "word").limit(most)
 
 
-def split_learned(texts: DataFrame, abbreviations: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def _learnt_of_key(texts: DataFrame, abbreviations: DataFrame, text: str, key: str) -> DataFrame:
+    """``_key, _learnt``: the learnt words that end a piece in the texts of a key."""
+    folder = run_folder(texts.sparkSession, "learnt-words")
+    abbreviations.select("word").write.parquet(folder)
+    learnt = texts.sparkSession.read.parquet(folder)
+    passes = anchor_filter(learnt.withColumnRenamed("word", "anchor"))
+    dotted = F.filter(sentence_array(F.col(text)), lambda p: F.endswith(p, F.lit(".")))
+    ends = F.filter(F.array_distinct(F.transform(dotted, lambda p: dotted_word(_last_token(p)))), passes)
+    told = texts.select(F.col(key).alias("_key"), F.explode_outer(ends).alias("word")).where("word is not null")
+    return told.join(broadcast_if_small(learnt), "word", "left_semi").groupBy("_key").agg(F.collect_set("word").alias("_learnt"))
+
+
+def split_learned(
+    texts: DataFrame, abbreviations: DataFrame, text: str = "text", key: str = "doc_id", most_in_plan: int = MOST_IN_PLAN
+) -> DataFrame:
     """``key, sent_no, sentence`` as :func:`split_sentences` gives them, but a break behind
     a learnt abbreviation (``word``) is none. Two words in a row, as in "et al.", are told
-    by the last. The learnt words, a list of stated size, are one literal of the plan, so
-    texts are cut where they are read."""
-    words = [r["word"] for r in abbreviations.select("word").orderBy("word").collect()]
+    by the last. Up to ``most_in_plan`` learnt words are one literal of the plan, so texts are
+    cut where they are read. Of a longer list each text meets those that end a piece of it."""
+    words = [r["word"] for r in abbreviations.select("word").orderBy("word").limit(most_in_plan + 1).collect()]
+    if len(words) <= most_in_plan:
+        rows, is_learnt = texts, lambda word: word.isin(words)
+    else:
+        told = _learnt_of_key(texts, abbreviations, text, key)
+        rows = texts.select(key, text).join(told, F.col(key).eqNullSafe(F.col("_key")), "left")
+        is_learnt = lambda word: F.coalesce(F.array_contains("_learnt", word), F.lit(False))
 
     def runs_on(piece: Column) -> Column:
-        return F.when(F.endswith(piece, F.lit(".")), dotted_word(_last_token(piece)).isin(words)).otherwise(False)
+        return F.when(F.endswith(piece, F.lit(".")), is_learnt(dotted_word(_last_token(piece)))).otherwise(False)
 
     # No piece holds a line break, so one may stand between sentences.
     ended = F.transform(sentence_array(F.col(text)), lambda p: F.concat(p, F.when(runs_on(p), " ").otherwise("\n")))
     whole = F.array_join(ended, "")
     pieces = F.split(F.substring(whole, F.lit(1), F.length(whole) - 1), "\n")
-    return texts.select(key, F.posexplode_outer(pieces).alias("sent_no", "sentence")).where(F.col("sentence") != "")
+    return rows.select(key, F.posexplode_outer(pieces).alias("sent_no", "sentence")).where(F.col("sentence") != "")

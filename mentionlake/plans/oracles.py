@@ -745,7 +745,7 @@ oracle(
       FROM (SELECT doc_id, n, piece, coalesce(lag(runs) OVER (PARTITION BY doc_id ORDER BY n), false) AS after FROM (SELECT doc_id, n, piece, regexp_matches(piece, '\\.$') AND {dotted(f"regexp_split_to_array(piece, {q(WS + '+')})[-1]")} IN (SELECT word FROM abbreviations) AS runs
         FROM (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS n FROM (SELECT doc_id, {parts('text')} AS p FROM documents)))))
       GROUP BY doc_id, g) QUALIFY sentence <> ''""",
-    ABBREVIATIONS,
+    ABBREVIATIONS.replace(" ORDER BY score DESC, word LIMIT 5000", ""),
 )
 oracle(
     "quota_sample",

@@ -111,3 +111,20 @@ def test_learnt_sentences_are_joined_in_one_pass(spark):
         (4, 0, "etc. etc. etc."), (5, 0, "So (etc.) he said."), (5, 1, "It."), (5, 2, "etc. Too!"),
     ]
     assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_learnt_word_is_left_out_however_many_there_are(spark):
+    letters = [F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), (F.floor(F.col("id") / 26**n) % 26 + 1).cast("int"), F.lit(1)) for n in range(3)]
+    texts = spark.range(5200).select(F.col("id").alias("doc_id"), F.concat(F.lit("We saw "), F.concat_ws(".", *letters), F.lit(". Then we all went home by bus.")).alias("text"))
+    learnt = learn_abbreviations(texts)
+    assert learnt.count() == 5200
+    found = split_learned(texts, learnt)
+    assert found.count() == 5200 and found.where("sent_no = 0").count() == 5200
+
+
+def test_a_long_list_of_learnt_words_cuts_as_a_short_one(spark):
+    told = spark.createDataFrame([("etc",), ("u.s",), ("fig",), ("never",)], "word string")
+    rows = [(1, "We saw etc. And so.   In the U.S. All\nwell. Etc."), (2, None), (3, " "), (4, "etc. etc. fig. etc."), (None, "So (etc.) he said. It. etc. Too!"), (None, "By Fig. 2. Or not."), (1, "Fig. 1. No end")]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    listed, joined = (sorted(map(tuple, split_learned(texts, told, most_in_plan=n).collect()), key=repr) for n in (4, 3))
+    assert listed == joined and (None, 0, "By Fig. 2.") in joined and len(joined) == 11
