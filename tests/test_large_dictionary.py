@@ -128,3 +128,50 @@ def test_a_long_list_of_learnt_words_cuts_as_a_short_one(spark):
     texts = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     listed, joined = (sorted(map(tuple, split_learned(texts, told, most_in_plan=n).collect()), key=repr) for n in (4, 3))
     assert listed == joined and (None, 0, "By Fig. 2.") in joined and len(joined) == 11
+
+
+ODD = [
+    (1, "A red ring, a Red\u00a0 RING and a red \u2013ring of the U.S.A. red ring."), (1, "The redring and the ring red, but no red, ring."),
+    (2, "In the USA red ring or U.S red-ring 2.0 \u212Aelvin Ring, \u212Aelvin ring."), (3, None), (None, "red ring red ring red"), (2, "ring 2.0 red"),
+    (4, "ring-red r\u00e9d ring; kelvin Ring \u0130on Ring ion ring i\u0307on ring"), (4, "- ."),
+]
+
+
+def odd_case(spark):
+    names = [["red ring", "ring red"], ["red-ring", "red ring 2.0"], ["U.S.A. red ring", "2.0"], ["Kelvin Ring", "\u212Aelvin ring"], ["\u0130on Ring", "ion ring"], ["ring", "- ."], ["red, ring"]]
+    lists = spark.createDataFrame(list(enumerate(names * 2)), "resource_id bigint, names array<string>")
+    aliases = dictionary.explode_aliases(lists, ["Kelvin Ring", "\u0130on Ring", "red-ring"])
+    return split_sentences(spark.createDataFrame(ODD, "doc_id bigint, text string")), aliases
+
+
+def test_neighbouring_words_find_what_single_ones_do(spark):
+    # Two rows of article 1 and of article 2 share the number of their sentence.
+    sentences, aliases = odd_case(spark)
+    pick = ["doc_id", "sent_no", "sentence", *detect.ALIAS_FIELDS]
+    for boundary in ("lookaround", "consuming"):
+        small, large = (sorted(map(tuple, detect.match_aliases(sentences, aliases, boundary, max_rows=n).select(*pick).collect()), key=repr) for n in (10_000, 0))
+        assert small == large and len(small) > 30 and any(r[0] is None for r in large)
+
+
+def test_texts_are_cut_once_and_meet_few_aliases_that_they_do_not_hold(spark, monkeypatch):
+    names = spark.createDataFrame([(i, [f"{words(i)} widget"]) for i in range(100, 160)], "resource_id bigint, names array<string>")
+    cut = spark.sparkContext.accumulator(0)
+    rows = [(i, 0, f"no {words(i % 9 + 100)} widget here") for i in range(90)]
+    sentences = spark.sparkContext.parallelize(rows, 3).map(lambda r: cut.add(1) or r).toDF("doc_id bigint, sent_no int, sentence string")
+    met, joined = [], anchors.salted_pairs
+
+    def pairs(*given):
+        met.append(joined(*given).count())
+        return joined(*given)
+
+    monkeypatch.setattr(detect, "salted_pairs", pairs)
+    assert detect.match_aliases(sentences, dictionary.explode_aliases(names), max_rows=0).count() == 90
+    assert cut.value == 90 and met == [90]  # not 60 aliases for each of 90 sentences
+
+
+def test_many_owners_of_an_alias_come_in_several_rows(spark, monkeypatch):
+    monkeypatch.setattr(detect, "OWNERS_PER_ROW", 7)
+    names = spark.createDataFrame([(i, ["red ring", "RED ring"] if i % 3 else ["Ring", "red ring", "red ring"]) for i in range(80)], "resource_id bigint, names array<string>")
+    sentences = spark.createDataFrame([(1, 0, "a red ring"), (2, 0, "the Ring"), (3, 0, "nothing")], "doc_id bigint, sent_no int, sentence string")
+    small, large = (sorted(map(tuple, detect.match_aliases(sentences, dictionary.explode_aliases(names), max_rows=n).collect())) for n in (10_000, 0))
+    assert small == large and len(small) > 200
